@@ -32,7 +32,7 @@ def parse(raw: DataFrame, urgencia_alias: bool = False) -> DataFrame:
     on; one with both fields goes to both sides. A manually entered request
     names its urgency ``urgencia``; ``urgencia_alias`` accepts that.
     """
-    text = F.decode("value", F.lit("UTF-8")) if dict(raw.dtypes)["value"] == "binary" else F.col("value")
+    text = F.decode("value", "UTF-8") if dict(raw.dtypes)["value"] == "binary" else F.col("value")
     m = raw.select(
         *[c for c in raw.columns if c != "value"],
         text.alias("value"),
@@ -85,9 +85,9 @@ def encode_record(df: DataFrame, *beside: str) -> DataFrame:
 
 def envelope(events: DataFrame) -> DataFrame:
     """Match events as a push service delivers them."""
-    return events.select(F.base64(F.encode("value", F.lit("UTF-8"))).alias("data"))
+    return events.select(F.base64(F.encode("value", "UTF-8")).alias("data"))
 
 
 def decode_envelope(df: DataFrame) -> DataFrame:
-    text = F.decode(F.unbase64("data"), F.lit("UTF-8"))
+    text = F.decode(F.unbase64("data"), "UTF-8")
     return df.select(F.from_json(text, MATCH_EVENT).alias("m")).select("m.*")

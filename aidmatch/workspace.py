@@ -1,23 +1,35 @@
 """Where iterative jobs cut their lineage."""
 
 import tempfile
+import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@lru_cache
+def _local_dir(application_id: str) -> str:
+    return tempfile.mkdtemp(prefix="aidmatch-")
+
+
 def _shared_dir(spark: SparkSession) -> str:
     """The folder the session names, or a temporary one where Spark runs on this machine only."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
+        return f"{configured.rstrip('/')}/{context.applicationId}"
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="aidmatch-")
+    return _local_dir(context.applicationId)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder, so that lost executors cost no replay of the loop."""
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(_shared_dir(spark))
-    return df.checkpoint()
+    """Write ``df`` to the checkpoint folder and go on from the table.
+
+    A lost executor costs no replay of the loop, readers take only the columns
+    they need, and the planner knows the size. Tables stay until the folder of
+    the application is removed.
+    """
+    path = f"{_shared_dir(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
