@@ -57,8 +57,8 @@ def _attempt(spark, sf):
 
 
 def _tables(spark, sf):
-    """The three result tables; the outcomes are shared by one exchange where the plan allows."""
-    done = _attempt(spark, sf)
+    """The three result tables of one attempt that is run once."""
+    done = _attempt(spark, sf).saved()
     return done.matched, done.requests, done.volunteers
 
 
@@ -254,7 +254,7 @@ def unmatched_volunteers(spark, sf):
 
 
 def dead_letter(spark, sf):
-    done = _attempt(spark, sf)
+    done = _attempt(spark, sf).saved()
     parts = [df.select("categoria", F.lit(kind).alias("kind"), "attempts")
              for df, kind in ((done.requests, "request"), (done.volunteers, "volunteer"))]
     return parts[0].unionByName(parts[1]).groupBy("categoria", "kind", "attempts").agg(F.count("*").alias("total"))
@@ -321,7 +321,7 @@ def place_enrichment(spark, sf):
 
 def retry_replay(spark, sf):
     """How many records end in each way when every leftover is tried in up to five windows."""
-    done = replay(_windowed(spark, sf, "1 day"), "1 day")
+    done = replay(_windowed(spark, sf, "1 day"), "1 day").saved()
     matched = L.matches(done.outcomes).select(
         "categoria", F.lit("matched").alias("outcome"), F.coalesce("help.attempts", F.lit(0)).cast("long").alias("attempts")
     )

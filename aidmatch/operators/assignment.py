@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aidmatch.functions.geo import haversine, may_reach, position
-from aidmatch.functions.grid import CELL, LEVELS, diagonal_km, level_for, point_cells, within_circles
+from aidmatch.functions.grid import CELL, LEVELS, diagonal_km, edge_km, level_for, point_cells, within_circles
 from aidmatch.operators.windows import GROUP, dedupe, group_sizes
 from aidmatch.schemas import PAYLOAD
 from aidmatch.workspace import checkpointed
@@ -23,9 +23,12 @@ from aidmatch.workspace import checkpointed
 # A group is solved in one row when it has at most this many records and pairs.
 MAX_GROUP_ROWS = 8192
 MAX_GROUP_PAIRS = 1 << 20
-# Rounds over large groups: volunteers looked at per request, requests settled together.
-PREFERENCES = 128
-BLOCK_REQUESTS = 512
+# Rounds over large groups: volunteers looked at per request, and requests that a block
+# takes from each of its parts. As many lists as each is long: then no list runs out
+# within its block, and hardly any request is displaced later.
+PREFERENCES = 256
+BLOCK_PARTS = 4
+BLOCK_REQUESTS = PREFERENCES // BLOCK_PARTS
 # Hot-group keys up to this count are broadcast (about 100 bytes each).
 BROADCAST_GROUPS = 50_000
 
@@ -308,22 +311,35 @@ def _rounds(asking: DataFrame, seats: DataFrame, preferences: int, block_request
 
 
 def _next_in_order(still: DataFrame, widest: float, block_requests: int) -> DataFrame:
-    """The first open requests of every cube that is about as wide as the widest radius.
+    """The first open requests of each group, a bounded number from every cube.
 
-    Requests of different cubes seldom want the same volunteer, so cubes go on
-    side by side. The limit is applied before the shuffle as well.
+    Cubes are as wide as the widest radius, so requests of different cubes
+    seldom want the same volunteer and go on side by side. No cube runs ahead of
+    the others: those after the first request that had to wait wait too, or they
+    would be displaced later. A cube is ranked in parts, cut off before the
+    shuffle as well. Who asks when changes the number of rounds, not the result.
     """
-    turn = Window.partitionBy(*GROUP, *CELL).orderBy("prio")
-    return (
-        point_cells(still, "pos")
-        .filter(F.col("level") == level_for(F.lit(widest)))
+    turn = Window.partitionBy(*GROUP, *CELL, "part").orderBy("prio")
+    first = (
+        point_cells(still, "pos", [_level_of(widest)])
+        .withColumn("part", F.pmod("req", F.lit(BLOCK_PARTS)))
         .withColumn("turn", F.row_number().over(turn))
-        .filter(F.col("turn") <= block_requests)
+        .filter(F.col("turn") <= block_requests + 1)
+    )
+    waits = first.filter(F.col("turn") > block_requests).groupBy(*GROUP).agg(F.min("prio").alias("wait"))
+    return (
+        first.join(waits, GROUP, "left")
+        .filter(F.col("wait").isNull() | (F.col("prio") < F.col("wait")))
         .withColumn("block", F.struct(*CELL))
-        .drop("turn", *CELL)
+        .drop("turn", "part", "wait", *CELL)
     )
 
 
+def _level_of(radius: float) -> int:
+    """Finest level whose cubes are as wide as a circle of this radius."""
+    return max(k for k in LEVELS if k == 0 or edge_km(k) >= 2 * radius)
+
+
 def _reach(asked: DataFrame, seats: DataFrame, widest: float, preferences: int) -> DataFrame:
     """Add ``reach``, a distance that surely holds enough free volunteers or else all of them.
 

@@ -14,6 +14,7 @@ from aidmatch.operators.leftovers import (
     unmatched_volunteers,
 )
 from aidmatch.schemas import MAX_ATTEMPTS
+from aidmatch.workspace import checkpointed
 
 
 @dataclass
@@ -21,6 +22,10 @@ class Attempt:
     outcomes: DataFrame
     max_attempts: int = MAX_ATTEMPTS
 
+    def saved(self) -> "Attempt":
+        """The same with its outcomes written once, for several readers."""
+        return Attempt(checkpointed(self.outcomes), self.max_attempts)
+
     @property
     def left(self) -> DataFrame:
         return add_attempt(leftovers(self.outcomes))

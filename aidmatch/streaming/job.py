@@ -75,8 +75,7 @@ def process_batch(batch: DataFrame, batch_id: int, cfg: StreamConfig) -> None:
     if batch.isEmpty():
         batch.unpersist()
         return
-    done = attempt(batch, cfg.max_attempts, **cfg.bounds)
-    done.outcomes = done.outcomes.persist()
+    done = attempt(batch, cfg.max_attempts, **cfg.bounds).saved()
     step = F.expr(f"INTERVAL {cfg.window}")
     try:
         matched = done.matched
@@ -91,7 +90,6 @@ def process_batch(batch: DataFrame, batch_id: int, cfg: StreamConfig) -> None:
         for keep, sink in ((F.col("is_help"), cfg.help_retry), (~F.col("is_help"), cfg.volunteer_retry)):
             publish(encode_record(again.filter(keep), "ts"), batch_id, **sink)
     finally:
-        done.outcomes.unpersist()
         batch.unpersist()
 
 

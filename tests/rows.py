@@ -29,6 +29,7 @@ SCHEMA = T.StructType([
 
 def _row(id, lat, lon, at, cat, w, is_help, urgency=None, radius=None, attempts=None, nombre="Ana"):
     w = START + timedelta(minutes=w)
+    lat, lon = round(lat, 6), round(lon, 6)
     return dict(
         id=id, nombre=nombre, ubicacion=f"{lat:.6f},{lon:.6f}", poblacion="Paiporta", categoria=cat,
         descripcion="agua" if is_help else None, created_at=START, nivel_urgencia=urgency,

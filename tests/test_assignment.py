@@ -6,7 +6,9 @@ from aidmatch.operators.assignment import assign
 from tests.rows import collected, frame, greedy, need, offer
 
 # The same cases run through the fold and, with every group called large, the rounds.
-WAYS = {"fold": {}, "rounds": {"max_rows": 0}, "short lists": {"max_rows": 0, "preferences": 2, "block_requests": 3}}
+WAYS = {"fold": {}, "rounds": {"max_rows": 0}}
+# Lists and blocks too short for their group, so that requests are displaced and ask again.
+SHORT = {"max_rows": 0, "preferences": 3, "block_requests": 4}
 
 
 @pytest.fixture(params=WAYS.values(), ids=WAYS.keys())
@@ -64,6 +66,12 @@ def test_random_groups(solve, seed, helps, offers, span):
     assert solve(rows) == greedy(rows)
 
 
+@pytest.mark.parametrize("seed,helps,offers,span", [(5, 40, 40, 2000), (6, 30, 15, 1)])
+def test_short_lists(spark, seed, helps, offers, span):
+    rows = crowd(random.Random(seed), helps, offers, span)
+    assert collected(assign(frame(spark, rows), **SHORT)) == greedy(rows)
+
+
 def test_large_and_bounded_groups_together(spark):
     rng = random.Random(7)
     rows = crowd(rng, 80, 80, 1500, groups=1) + [need("x", cat="Transporte"), offer("y", cat="Transporte")]
