@@ -1,19 +1,28 @@
 import random
+from datetime import timedelta
 
 import pytest
 
 from aidmatch.operators.assignment import assign
 from tests.rows import collected, frame, greedy, need, offer
 
-# The same cases run through the fold and, with every group called large, the rounds.
-WAYS = {"fold": {}, "rounds": {"max_rows": 0}}
-# Lists and blocks too short for their group, so that requests are displaced and ask again.
+# Every group is called large; in the second, lists and blocks are too short for
+# their group, so that requests are displaced and ask again.
+ROUNDS = {"max_rows": 0}
 SHORT = {"max_rows": 0, "preferences": 3, "block_requests": 4}
 
 
-@pytest.fixture(params=WAYS.values(), ids=WAYS.keys())
-def solve(spark, request):
-    return lambda rows: collected(assign(frame(spark, rows), **request.param))
+def solve(spark, rows, **bounds):
+    return collected(assign(frame(spark, rows), **bounds))
+
+
+def apart(cases):
+    """Each case in windows of its own, to solve them in one go."""
+    rows = []
+    for k, case in enumerate(cases):
+        shift = timedelta(minutes=10 * k)
+        rows += [r | {"w": r["w"] + shift, "ts": r["ts"] + shift} for r in case]
+    return rows
 
 
 CASES = {
@@ -46,8 +55,13 @@ CASES = {
 
 
 @pytest.mark.parametrize("rows", CASES.values(), ids=CASES.keys())
-def test_case(solve, rows):
-    assert solve(rows) == greedy(rows)
+def test_case(spark, rows):
+    assert solve(spark, rows) == greedy(rows)
+
+
+def test_cases_as_large_groups(spark):
+    rows = apart(CASES.values())
+    assert solve(spark, rows, **ROUNDS) == greedy(rows)
 
 
 def crowd(rng, helps, offers, span, groups=2):
@@ -60,20 +74,27 @@ def crowd(rng, helps, offers, span, groups=2):
     return rows
 
 
-@pytest.mark.parametrize("seed,helps,offers,span", [(1, 60, 60, 2000), (2, 90, 30, 500), (3, 30, 90, 3000), (4, 50, 50, 1)])
-def test_random_groups(solve, seed, helps, offers, span):
-    rows = crowd(random.Random(seed), helps, offers, span)
-    assert solve(rows) == greedy(rows)
+def crowds():
+    sizes = [(1, 60, 60, 2000), (2, 90, 30, 500), (3, 30, 90, 3000), (4, 50, 50, 1)]
+    return apart(crowd(random.Random(seed), helps, offers, span) for seed, helps, offers, span in sizes)
+
+
+def test_random_groups(spark):
+    rows = crowds()
+    assert solve(spark, rows) == greedy(rows)
+
+
+def test_random_groups_as_large_groups(spark):
+    rows = crowds()
+    assert solve(spark, rows, **ROUNDS) == greedy(rows)
 
 
-@pytest.mark.parametrize("seed,helps,offers,span", [(5, 40, 40, 2000), (6, 30, 15, 1)])
-def test_short_lists(spark, seed, helps, offers, span):
-    rows = crowd(random.Random(seed), helps, offers, span)
-    assert collected(assign(frame(spark, rows), **SHORT)) == greedy(rows)
+def test_short_lists(spark):
+    rows = apart([crowd(random.Random(5), 40, 40, 2000), crowd(random.Random(6), 20, 10, 1)])
+    assert solve(spark, rows, **SHORT) == greedy(rows)
 
 
 def test_large_and_bounded_groups_together(spark):
     rng = random.Random(7)
     rows = crowd(rng, 80, 80, 1500, groups=1) + [need("x", cat="Transporte"), offer("y", cat="Transporte")]
-    assert collected(assign(frame(spark, rows), max_rows=20)) == greedy(rows)
-    assert collected(assign(frame(spark, rows), max_pairs=100)) == greedy(rows)
+    assert solve(spark, rows, max_pairs=100) == greedy(rows)
