@@ -334,6 +334,27 @@ def retry_replay(spark, sf):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return _own_queries() | _added()[0]
+
+
+def oracle_sql() -> dict[str, str]:
+    return _own_sql() | _added()[1]
+
+
+def _added() -> tuple[dict, dict]:
+    """Queries and SQL of the parts that may be absent: the subpackage for training data and the pipeline."""
+    try:
+        import corpus_pipeline
+        from aidmatch.llm import queries as added
+    except ModuleNotFoundError as e:
+        if e.name not in ("aidmatch.llm", "aidmatch.llm.queries", "corpus_pipeline"):
+            raise
+        return {}, {}
+    sql = added.SQL | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+    return added.QUERIES | {"pipeline": corpus_pipeline.run}, sql
+
+
+def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "scan_help": scan_help,
         "scan_volunteers": scan_volunteers,
@@ -503,7 +524,7 @@ def _by_sql(table, column):
     return _GREEDY + f"SELECT {column}, count(*) AS total FROM {table} GROUP BY {column} ORDER BY total DESC"
 
 
-def oracle_sql() -> dict[str, str]:
+def _own_sql() -> dict[str, str]:
     return {
         "scan_help": f"WITH {_RECORDS} SELECT {_columns(HELP_COLUMNS)}, ts FROM records WHERE is_help",
         "scan_volunteers": f"WITH {_RECORDS} SELECT {_columns(VOLUNTEER_COLUMNS)}, ts FROM records WHERE NOT is_help",
