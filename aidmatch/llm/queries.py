@@ -4,10 +4,26 @@ from pyspark.sql import functions as F
 
 from aidmatch.llm.common import documents
 from aidmatch.llm.cuckoo_dedup import exact_dedup
+from aidmatch.llm.packing import pack_documents
 from aidmatch.llm.pareto_mix import MIX_SQL, mix
+from aidmatch.llm.parity_join import near_duplicates
 from aidmatch.llm.ring_shards import shard_rows
 
 
+def _vocabulary() -> tuple[str, str]:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def op1_sum_of_squares_packing(spark, sf_dir):
+    return pack_documents(documents(spark, sf_dir), *_vocabulary())
+
+
+def op2_parity_sketch_join(spark, sf_dir):
+    return near_duplicates(documents(spark, sf_dir)).drop("set_id")
+
+
 def op7_pareto_mix(spark, sf_dir):
     return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -27,5 +43,5 @@ FROM (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+
 WINDOW g AS (PARTITION BY text_sha256)
 """
 
-QUERIES = {f.__name__: f for f in (op7_pareto_mix, op8_ring_shards, op9_cuckoo_dedup)}
+QUERIES = {f.__name__: f for f in (op1_sum_of_squares_packing, op2_parity_sketch_join, op7_pareto_mix, op8_ring_shards, op9_cuckoo_dedup)}
 SQL = {"op7_pareto_mix": MIX_SQL, "op9_cuckoo_dedup": DEDUP_SQL}
