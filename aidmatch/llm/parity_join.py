@@ -13,9 +13,11 @@ Jaccard >= 0.8 means |A ^ B| <= (|A| + |B|) / 9.
 Sets that share a listed sketch are candidates. Their whole bit sketches are
 compared first, the Hamming distance being a lower bound of the difference, and
 then the sets themselves. Within a group of sets that share a sketch no pairs
-are listed until they are needed: first every set is compared with the first of
-a group, and only groups that still fall into several components are searched,
-for pairs across components. No link that could join two components is lost.
+are listed until they are needed. Every set is compared with the first of a group,
+then, as long as that joins components, with a few random members of the largest
+component that meets it. Only groups that still fall into several components are
+searched for all pairs across components. No link that could join two components
+is lost.
 
 Rows are single sets and sketches, groups stream through sorted partitions, and
 equal sets count as one. A set of n tokens lists about n / 4 parts.
@@ -48,6 +50,8 @@ REMEMBERED = 200_000
 BROADCAST_IDS = 4_000_000
 #: Sets compared with one hub in one task.
 PER_HUB = 4096
+#: Random members of the largest component around that a set is compared with in one turn.
+MEET = 8
 BLOCK_BYTES = 1 << 25
 
 _U = np.uint64
@@ -96,7 +100,7 @@ def listed_parts(tokens: np.ndarray) -> np.ndarray:
 def bit_sketch(tokens: np.ndarray) -> bytes:
     """Parities of the tokens in a power of two of bits, by the largest class of sizes the set reaches."""
     reach = max(class_of(len(tokens) * 100 // PERCENT), 0)
-    bits = 256 if reach == 0 else CLASSES[reach] * 4
+    bits = 256 if reach == 0 else CLASSES[reach] * 8
     odd = np.bincount((tokens & _U(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
@@ -249,8 +253,27 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs whose sizes and bit sketches allow a link."""
+    for batch in batches:
+        kept = []
+        for row, (n, m, mine, theirs) in enumerate(zip(*(batch.column(i).to_pylist() for i in range(2, 6)))):
+            if min(n, m) * 100 >= max(n, m) * PERCENT:
+                width = min(len(mine), len(theirs))
+                mine, theirs = (fold(np.frombuffer(x, dtype=np.uint8), width).view(np.uint64) for x in (mine, theirs))
+                if int(np.bitwise_count(mine ^ theirs).sum()) * (100 + PERCENT) <= (n + m) * (100 - PERCENT):
+                    kept.append(row)
+        yield batch.select([0, 1]).take(pa.array(kept, pa.int64()))
+
+
 def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (hub, set_id) that link. A hub's set goes to every lot of its pairs, a pair carries one set."""
+    bits = sets.select("set_id", "n", "bits")
+    hub = bits.select(F.col("set_id").alias("hub"), F.col("n").alias("hub_n"), F.col("bits").alias("hub_bits"))
+    pairs = checkpointed(
+        pairs.join(bits, "set_id").join(hub, "hub").select("hub", "set_id", "n", "hub_n", "bits", "hub_bits")
+        .mapInArrow(_possible, "hub bigint, set_id bigint")
+    )
     lots = pairs.groupBy("hub").agg(F.ceil(F.count("*") / PER_HUB).alias("lots"))
     dealt = pairs.join(lots, "hub").withColumn("lot", F.pmod(F.xxhash64("set_id"), "lots"))
     members = dealt.join(sets, "set_id").select("hub", "lot", F.col("set_id").alias("member"), "tokens")
@@ -263,10 +286,10 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [(set_id(t), t.tobytes(), bit_sketch(t)) for t in _sets(batch, 0) if len(t)]
+        found = [(set_id(t), len(t), t.tobytes(), bit_sketch(t)) for t in _sets(batch, 0) if len(t)]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([f[i] for f in found], k) for i, k in enumerate((pa.int64(), pa.binary(), pa.binary()))],
-            names=["set_id", "tokens", "bits"],
+            [pa.array([f[i] for f in found], k) for i, k in enumerate((pa.int64(), pa.int64(), pa.binary(), pa.binary()))],
+            names=["set_id", "n", "tokens", "bits"],
         )
 
 
@@ -288,7 +311,7 @@ def link_sets(docs: DataFrame, rows: DataFrame) -> DataFrame:
     )
     ids = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
     chosen = docs.join(ids, "doc_id", "left_semi").select(whole_text().alias("text"))
-    known = chosen.mapInArrow(_tokens, "set_id bigint, tokens binary, bits binary").dropDuplicates(["set_id"])
+    known = chosen.mapInArrow(_tokens, "set_id bigint, n bigint, tokens binary, bits binary").dropDuplicates(["set_id"])
     sets = checkpointed(known)
 
     def parted(pairs: DataFrame, components: DataFrame) -> DataFrame:
@@ -301,22 +324,52 @@ def link_sets(docs: DataFrame, rows: DataFrame) -> DataFrame:
     first = checkpointed(stars.groupBy("set_id").agg(F.min("hub").alias("hub")))
     links = _links(first, sets)
     components = connected_components(links)
-    rest = checkpointed(parted(stars.join(first, ["hub", "set_id"], "left_anti"), components))
-    links = checkpointed(links.unionByName(_links(rest, sets)))
+    more = _links(parted(stars.join(first, ["hub", "set_id"], "left_anti"), components), sets)
+    links = checkpointed(links.unionByName(more))
     components = connected_components(links)
 
+    # groups of two are settled; sets of the others meet a random member of the largest component around
+    groups = checkpointed(shared.groupBy("sketch").agg(F.count("*").alias("many")).filter("many > 2").select("sketch"))
+    shared = checkpointed(shared.join(groups, "sketch").select("sketch", "n", "set_id"))
+    turn = 0
+    while True:
+        turn += 1
+        part = F.coalesce("component", "set_id")
+        placed = shared.join(components, F.col("set_id") == F.col("node"), "left").select("sketch", "n", "set_id", part.alias("part"))
+        apart = placed.groupBy("sketch").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low <> high")
+        # groups that have come together are done
+        shared = checkpointed(placed.join(apart.select("sketch"), "sketch"))
+        large = components.groupBy("component").agg(F.count("*").alias("size"))
+        ranked = shared.join(large, F.col("part") == F.col("component"), "left").withColumn("by_size", F.coalesce(-F.col("size"), F.lit(-1)))
+        hubs = ranked.groupBy("sketch").agg(*(
+            F.min(F.struct("by_size", "part", F.xxhash64("set_id", F.lit(turn), F.lit(i)), "set_id")).alias(f"hub{i}")
+            for i in range(MEET)
+        ))
+        met = shared.join(hubs, "sketch").groupBy("set_id").agg(F.array(*(
+            F.min(F.when(F.col("part") != F.col(f"hub{i}.part"), F.col(f"hub{i}"))) for i in range(MEET)
+        )).alias("hubs")).select("set_id", F.explode("hubs").alias("hub")).select(F.col("hub.set_id").alias("hub"), "set_id")
+        shared = shared.drop("part")
+        more = _links(checkpointed(met.filter("hub IS NOT NULL").distinct()), sets)
+        found = more.count()
+        if found:
+            links = checkpointed(links.unionByName(more))
+            components = connected_components(links)
+        if found * 10 <= links.count():
+            break
+
     # what remains: any two sets of a group that lie in different components
-    part = F.coalesce("component", "set_id")
     placed = shared.join(components, F.col("set_id") == F.col("node"), "left").select("sketch", "n", "set_id", part.alias("part"))
-    mixed = placed.groupBy("sketch").agg(F.count("*").alias("many"), F.min("part").alias("low"), F.max("part").alias("high"))
-    mixed = mixed.filter("many > 2 AND low <> high").select("sketch")
-    open_ = placed.join(mixed, "sketch").join(sets.select("set_id", "bits"), "set_id").select("sketch", "n", "set_id", "part", "bits")
-    near = open_.repartition("sketch").sortWithinPartitions("sketch").mapInArrow(_near, "hub bigint, set_id bigint").distinct()
-    done = stars.unionByName(stars.select(F.col("set_id").alias("hub"), F.col("hub").alias("set_id")))
-    near = checkpointed(near.join(done, ["hub", "set_id"], "left_anti"))
+    apart = placed.groupBy("sketch").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low <> high")
+    open_ = placed.join(apart.select("sketch"), "sketch").join(sets.select("set_id", "bits"), "set_id").select(
+        "sketch", "n", "set_id", "part", "bits"
+    )
+    near = checkpointed(
+        open_.repartition("sketch").sortWithinPartitions("sketch").mapInArrow(_near, "hub bigint, set_id bigint").distinct()
+    )
     if near.isEmpty():
         return components
-    return connected_components(links.unionByName(_links(near, sets)))
+    more = _links(near, sets)
+    return connected_components(links.unionByName(more))
 
 
 def near_duplicates(docs: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:

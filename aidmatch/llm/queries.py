@@ -3,27 +3,49 @@
 from pyspark.sql import functions as F
 
 from aidmatch.llm.common import documents
+from aidmatch.llm.crf_pii import find_personal_data
 from aidmatch.llm.cuckoo_dedup import exact_dedup
+from aidmatch.llm.mincut_html import extract_text
 from aidmatch.llm.packing import pack_documents
 from aidmatch.llm.pareto_mix import MIX_SQL, mix
 from aidmatch.llm.parity_join import near_duplicates
 from aidmatch.llm.ring_shards import shard_rows
+from aidmatch.llm.secrets import scan_secrets
+from aidmatch.llm.stable_ann import nearest
+from aidmatch.llm.weak_toxicity import score_toxicity
 
 
-def _vocabulary() -> tuple[str, str]:
+def vocabulary() -> tuple[str, str]:
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def op1_sum_of_squares_packing(spark, sf_dir):
-    return pack_documents(documents(spark, sf_dir), *_vocabulary())
+    return pack_documents(documents(spark, sf_dir), *vocabulary())
 
 
 def op2_parity_sketch_join(spark, sf_dir):
     return near_duplicates(documents(spark, sf_dir)).drop("set_id")
 
 
+def op3_min_cut_html(spark, sf_dir):
+    return extract_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op4_weak_toxicity(spark, sf_dir):
+    return score_toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op5_stable_projections(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return nearest(rows, rows.filter("vec_id % 20 = 0"))
+
+
+def op6_linked_secrets(spark, sf_dir):
+    return scan_secrets(documents(spark, sf_dir))
+
+
 def op7_pareto_mix(spark, sf_dir):
     return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -36,6 +58,10 @@ def op9_cuckoo_dedup(spark, sf_dir):
     return exact_dedup(documents(spark, sf_dir))
 
 
+def op10_crf_personal_data(spark, sf_dir):
+    return find_personal_data(documents(spark, sf_dir))
+
+
 DEDUP_SQL = r"""
 SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = min(doc_id) OVER g AS kept, text_sha256
@@ -43,5 +69,6 @@ FROM (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+
 WINDOW g AS (PARTITION BY text_sha256)
 """
 
-QUERIES = {f.__name__: f for f in (op1_sum_of_squares_packing, op2_parity_sketch_join, op7_pareto_mix, op8_ring_shards, op9_cuckoo_dedup)}
+QUERIES = {f.__name__: f for f in (op1_sum_of_squares_packing, op2_parity_sketch_join, op3_min_cut_html, op4_weak_toxicity, op5_stable_projections, op6_linked_secrets, op7_pareto_mix, op8_ring_shards, op9_cuckoo_dedup,
+    op10_crf_personal_data)}
 SQL = {"op7_pareto_mix": MIX_SQL, "op9_cuckoo_dedup": DEDUP_SQL}
