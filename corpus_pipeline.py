@@ -4,17 +4,44 @@ from pyspark.sql import DataFrame, SparkSession
 
 from aidmatch.llm.common import documents
 from aidmatch.llm.cuckoo_dedup import drop_copies
+from aidmatch.llm.packing import pack_documents
+from aidmatch.llm.pareto_mix import repeat_by_mix
+from aidmatch.llm.parity_join import keep_one
+from aidmatch.llm.queries import vocabulary
+from aidmatch.llm.weak_toxicity import drop_toxic
 from aidmatch.workspace import checkpointed
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score as toxic go."""
+    return drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each text stays."""
     return drop_copies(docs)
 
 
-STAGES = [("exact dedup", exact_copies)]
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays."""
+    return keep_one(docs)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it."""
+    return repeat_by_mix(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces with their places in sequences."""
+    return pack_documents(docs, *vocabulary())
+
+
+STAGES = [
+    ("toxicity", toxicity), ("exact dedup", exact_copies), ("near duplicates", near_copies), ("mixture", mixture), ("packing", packing),
+]
 
-#: Scores of a trained classifier and a tokenizer's ids are beyond SQL.
+#: A trained classifier's scores and a tokenizer's ids are beyond SQL.
 ORACLE_SQL = None
 
 
