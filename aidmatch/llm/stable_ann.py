@@ -207,7 +207,8 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
                     done = chi_square(away / gap) >= CERTAIN if gap > 0 else away > 0
                     cell = np.flatnonzero(~done) + low
                     cell = cell[cell != own]
-                    yield pd.DataFrame({"query_id": query, "vector": [vector] * len(cell), "cell": cell, "worst": worst})
+                    if len(cell):
+                        yield pd.DataFrame({"query_id": query, "vector": [vector] * len(cell), "cell": cell, "worst": worst})
 
     further = asked.join(known, "query_id", "left").mapInPandas(
         open_cells, "query_id bigint, vector array<double>, cell bigint, worst double"
