@@ -31,6 +31,11 @@ def saved_with_row_id(df: DataFrame) -> DataFrame:
     return table.select("*", (part * (1 << 36) + F.col("_metadata.row_index")).alias("row_id"))
 
 
+def saved_documents(docs: DataFrame) -> DataFrame:
+    """``docs`` written as (doc, row_id); ``doc`` holds all columns, so no name of theirs can clash."""
+    return saved_with_row_id(docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc")))
+
+
 def parts_for(spark: SparkSession, rows: int, per_part: int) -> int:
     """How many partitions to deal ``rows`` to, no fewer than a shuffle has."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_part))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aidmatch.llm.common import SPACE, parts_for, saved_with_row_id, whole_text
+from aidmatch.llm.common import SPACE, parts_for, saved_documents, saved_with_row_id, whole_text
 from aidmatch.workspace import checkpointed
 
 LIVE = "digest binary, keep_id bigint, keep_row bigint, group_size bigint"
@@ -227,7 +227,7 @@ def exact_dedup(docs: DataFrame, text: str = "text") -> DataFrame:
     ids last, and of identical rows any one. An empty table gives an empty
     result; columns of ``docs`` other than ``doc_id`` and ``text`` play no part.
     """
-    rows = saved_with_row_id(with_digest(docs, text).select("doc_id", "digest"))
+    rows = saved_with_row_id(with_digest(docs.select("doc_id", text), text).select("doc_id", "digest"))
     buckets = parts_for(docs.sparkSession, rows.count(), DIGESTS_PER_BUCKET)
     live = live_digests(rows, buckets)
     return rows.join(live, "digest").select(
@@ -238,9 +238,8 @@ def exact_dedup(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def drop_copies(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` without the copies, all columns as they were."""
-    clash = {c for c in docs.columns if c.startswith("_dedup")}
-    assert not clash, f"columns {clash} are taken"
-    rows = saved_with_row_id(with_digest(docs, text))
-    buckets = parts_for(docs.sparkSession, rows.count(), DIGESTS_PER_BUCKET)
-    kept = live_digests(rows.select("doc_id", "digest", "row_id"), buckets).select(F.col("keep_row").alias("row_id"))
-    return rows.join(checkpointed(kept), "row_id", "left_semi").select(*docs.columns)
+    rows = saved_documents(docs)
+    digests = checkpointed(with_digest(rows.select("doc.doc_id", f"doc.{text}", "row_id"), text).select("doc_id", "digest", "row_id"))
+    buckets = parts_for(docs.sparkSession, digests.count(), DIGESTS_PER_BUCKET)
+    kept = live_digests(digests, buckets).select(F.col("keep_row").alias("row_id"))
+    return rows.join(checkpointed(kept), "row_id", "left_semi").select("doc.*")

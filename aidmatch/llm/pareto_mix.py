@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aidmatch.llm.common import WORD, saved_with_row_id, whole_text
+from aidmatch.llm.common import WORD, saved_documents, whole_text
 from aidmatch.workspace import checkpointed
 
 #: Of the sources in code point order, null last, repeating.
@@ -157,10 +157,10 @@ def repeat_by_mix(docs: DataFrame, text: str = "text", source: str = "source", s
     Rows of one id, source and size are alike to the mix; their copies go to
     them in the order of their place in the written table.
     """
-    rows = saved_with_row_id(docs)
-    words = F.regexp_count(whole_text(text), F.lit(WORD)).cast("bigint")
+    rows = saved_documents(docs)
+    words = F.regexp_count(whole_text(f"doc.{text}"), F.lit(WORD)).cast("bigint")
     keys = ["_mix_id", "_mix_source", "_mix_size"]
-    numbered = rows.withColumns({"_mix_id": F.col("doc_id"), "_mix_source": F.col(source), "_mix_size": words})
+    numbered = rows.withColumns({"_mix_id": F.col("doc.doc_id"), "_mix_source": F.col(f"doc.{source}"), "_mix_size": words})
     alike = Window.partitionBy(*keys)
     placed = numbered.select(*keys, "row_id").withColumn("_mix_kth", F.row_number().over(alike.orderBy("row_id")) - 1)
     taken = mix(docs, text, source, seed).select(
@@ -170,7 +170,7 @@ def repeat_by_mix(docs: DataFrame, text: str = "text", source: str = "source", s
     times = placed.join(taken, same).filter("copies > 0").select("row_id", "copies")
     return rows.join(times, "row_id").withColumn(
         "_mix_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies"))
-    ).select(*docs.columns)
+    ).select("doc.*")
 
 
 #: The same mix in DuckDB's SQL, each step over all rows at once.

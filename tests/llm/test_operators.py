@@ -1,0 +1,259 @@
+"""Operators for training data against brute force, on small tables with the odd cases."""
+
+import hashlib
+import itertools
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+from aidmatch.llm import cuckoo_dedup as dedup
+from aidmatch.llm import parity_join as parity
+from aidmatch.llm.crf_pii import LABELLED, base_spans, find_personal_data
+from aidmatch.llm.crf_pii import train as train_crf
+from aidmatch.llm.mincut_html import extract_text, min_cut
+from aidmatch.llm.packing import pack_documents
+from aidmatch.llm.pareto_mix import mix, repeat_by_mix
+from aidmatch.llm.queries import vocabulary
+from aidmatch.llm.ring_shards import overflow, ring, shard_rows
+from aidmatch.llm.secrets import scan_secrets
+from aidmatch.llm.shingles import shingle_set
+from aidmatch.llm.stable_ann import nearest
+from aidmatch.llm.weak_toxicity import score_toxicity
+
+LONG = " ".join(f"w{i}" for i in range(30_000))
+ODD = [
+    (1, None, "a"), (2, "", "a"), (3, "one two three four five six", None), (3, "one two three four five six", None),
+    (None, "ONE two\tthree four five six", "b"), (7, "a " * 40, "é"), (8, LONG, "b"), (9, LONG + " end", "b"), (9, "other words here", "a"),
+]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    # extra columns with names that the operators use inside
+    rows = [(*r, 1, 2, "x") for r in ODD]
+    return spark.createDataFrame(rows, "doc_id bigint, text string, source string, size int, row_id int, bucket string").repartition(3)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], "doc_id bigint, text string, source string")
+
+
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def test_dedup(docs, none):
+    rows = dedup.exact_dedup(docs).collect()
+    norm = lambda t: re.sub(r"[\x20\x09-\x0D]+", " ", t or "")
+    sha = lambda t: hashlib.sha256(norm(t).encode()).hexdigest()
+    assert sorted((r.doc_id or 0, r.text_sha256) for r in rows) == sorted((d or 0, sha(t)) for d, t, _ in ODD)
+    assert sum(r.kept for r in rows) == len({norm(t) for _, t, _ in ODD})
+    assert {r.keep_id for r in rows if r.text_sha256 == sha("")} == {1}
+    assert dedup.drop_copies(docs).columns == docs.columns
+    assert dedup.exact_dedup(none).count() == 0
+
+
+def test_cuckoo_grows_and_deletes():
+    index, keys = dedup.CuckooIndex(buckets=2), [hashlib.sha256(bytes([i % 256, i // 256])).digest() for i in range(3000)]
+    for k in keys:
+        index.insert(k, [0, 0, 1])
+    assert all(index.get(k) for k in keys) and index.mask > 500
+    assert all(index.delete(k) for k in keys[::2]) and not index.delete(keys[0])
+    assert all((index.get(k) is None) == (i % 2 == 0) for i, k in enumerate(keys))
+    assert sum(map(bool, index.slots)) == 1500
+
+
+def test_index_changes(spark, docs):
+    rows = dedup.saved_with_row_id(dedup.with_digest(docs.select("doc_id", "text")).select("doc_id", "digest"))
+    live = dedup.live_digests(rows, 3)
+    gone = rows.filter("doc_id = 1")
+    after = dedup.apply_changes(live, rows.limit(0), gone, 3)
+    empty = bytes.fromhex(hashlib.sha256(b"").hexdigest())
+    kept = {bytes(r.digest): r for r in dedup.new_keepers(after, rows.filter("doc_id <> 1")).collect()}
+    assert kept[empty].keep_id == 2 and kept[empty].group_size == 1
+    assert dedup.apply_changes(after, rows.limit(0), rows.filter("doc_id = 2"), 3).count() == live.count() - 1
+
+
+def test_shards(docs, none):
+    rows = shard_rows(docs, 4).collect()
+    assert sorted((r.doc_id or 0, r.size, r.text_crc32) for r in rows) == sorted(
+        (d or 0, len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for d, t, _ in ODD)
+    slots = [[r.slot for r in rows if r.shard == s] for s in range(4)]
+    assert all(sorted(s) == list(range(len(s))) for s in slots) and max(map(len, slots)) - min(map(len, slots)) <= 1
+    assert shard_rows(none, 4).count() == 0
+
+
+def test_ring_moves_little():
+    def shards(n):
+        points, owners = ring(n)
+        at = np.searchsorted(points, np.random.default_rng(0).integers(0, 1 << 63, 20_000).astype(np.uint64) * 2) % len(points)
+        counts = np.bincount(at, minlength=len(points))
+        capacity = np.full(n, len(at) // n) + (np.arange(n) < len(at) % n)
+        order, out = np.argsort(at, kind="stable"), np.empty(len(at), dtype=int)
+        first = np.cumsum(counts) - counts
+        for arc, low, high, shard, _ in overflow(counts, owners, capacity):
+            out[order[first[arc] + low:first[arc] + high]] = shard
+        return out
+    a, b = shards(10), shards(11)
+    assert (a != b).mean() < 0.4  # dealing anew would move 0.9
+
+
+def test_mix(docs, none):
+    rows = mix(docs).collect()
+    assert len(rows) == len(ODD) and all(0 <= r.taken <= 2 * r.size for r in rows)
+    total = sum(len(words(t)) for _, t, _ in ODD)
+    assert sum({r.source: r.target for r in rows}.values()) == pytest.approx(1.5 * total)
+    assert sorted(map(str, mix(docs).collect())) == sorted(map(str, rows))
+    assert repeat_by_mix(docs).count() == sum(r.copies for r in rows)
+    assert mix(none).count() == 0 and repeat_by_mix(none).count() == 0
+
+
+def test_packing(docs, none):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(vocabulary()[0])
+    rows = pack_documents(docs, *vocabulary()).collect()
+    want = sorted(len(tokenizer.encode(t or "", add_special_tokens=False).ids) + 1 for _, t, _ in ODD)
+    assert sum(r.length for r in rows) == sum(want)
+    places = sorted((r.sequence_id, r.offset, r.length) for r in rows)
+    for _, group in itertools.groupby(places, key=lambda p: p[0]):
+        at = 0
+        for _, offset, length in group:
+            assert offset == at
+            at += length
+        assert at <= 2048
+    long = sorted((r for r in rows if r.doc_id == 8), key=lambda r: r.piece)
+    ids = np.array([*tokenizer.encode(LONG, add_special_tokens=False).ids, 0], dtype="<u4")
+    assert [r.ids_crc32 for r in long] == [zlib.crc32(ids[r.start:r.start + r.length].tobytes()) for r in long]
+    assert all(r.length == 2048 for r in long[1:])
+    assert pack_documents(none, *vocabulary()).count() == 0
+
+
+def test_near_duplicates(spark, docs, none):
+    rng = random.Random(4)
+    texts = dict(enumerate(ODD[i][1] for i in range(len(ODD))))
+    for base in range(6):
+        text = [rng.choice("abcdefghijklmnop") * 3 for _ in range(rng.choice([5, 8, 30, 120, 700]))]
+        for _ in range(12):
+            copy = list(text)
+            for _ in range(rng.randint(0, max(1, len(copy) // 60))):
+                copy[rng.randrange(len(copy))] = "new"
+            texts[len(texts)] = " ".join(copy)
+    table = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(4)
+    sets = {d: frozenset(shingle_set(t or "").tolist()) for d, t in texts.items()}
+    name = {d: d for d in sets}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in itertools.combinations(sets, 2):
+            both = len(sets[a] & sets[b])
+            if sets[a] and sets[b] and 100 * both >= 80 * len(sets[a] | sets[b]) and name[a] != name[b]:
+                name[a] = name[b] = min(name[a], name[b])
+                changed = True
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in parity.near_duplicates(table).collect()}
+    assert got == {d: (len(s), name[d]) for d, s in sets.items()}
+    assert parity.near_duplicates(none).count() == 0
+    assert parity.keep_one(docs).columns == docs.columns
+
+
+def test_listed_parts_of_linked_sets_meet():
+    rng = np.random.default_rng(3)
+    for size in [4, 5, 9, 50, 63, 64, 70, 200, 255, 256, 1500]:
+        for _ in range(20):
+            a = np.unique(rng.integers(0, 1 << 63, size).astype(np.uint64))
+            most = parity.most_different(len(a), None)
+            drop = int(rng.integers(0, min(most, len(a) // 5) + 1))
+            b = np.unique(np.r_[a[rng.permutation(len(a))[drop:]], rng.integers(0, 1 << 63, max(0, most - drop) // 2).astype(np.uint64)])
+            both = len(np.intersect1d(a, b))
+            if drop + len(b) - both and 100 * both >= 80 * (len(a) + len(b) - both):
+                assert np.intersect1d(parity.listed_parts(a), parity.listed_parts(b)).size
+
+
+def test_min_cut_is_least():
+    rng = random.Random(2)
+    for _ in range(60):
+        n = rng.randint(1, 8)
+        costs = np.array([rng.uniform(-3, 3) for _ in range(n)])
+        edges = [(a, b, rng.uniform(0, 2)) for a in range(n) for b in range(a) if rng.random() < 0.5]
+        price = lambda s: sum(abs(c) for c, x in zip(costs, s) if (c > 0) != bool(x)) + sum(w for a, b, w in edges if s[a] != s[b])
+        assert price(min_cut(costs, edges)) == pytest.approx(min(map(price, itertools.product([0, 1], repeat=n))))
+
+
+def test_html(spark):
+    page = ("<html><head><title>t</title><script>var a='</p>';</script></head><body><nav><a href=x>Home</a></nav><article><h1>A  &amp; B</h1>"
+            "<p>First <b>line\n of<br>text</b> that goes on for a while.<p>Of.</p></article><div class=comments><p>I disagree, friends.</p></div>"
+            "<footer>&copy; me</footer>")
+    rows = spark.createDataFrame([(1, "u", page, 5), (2, None, None, 5), (3, "u", "", 5), (None, "u", page, 5)], "page_id bigint, url string, html string, n_chars int")
+    got = {r.page_id: (r.text, r.n_chars) for r in extract_text(rows).collect()}
+    want = "A & B\n\nFirst line of text that goes on for a while.\n\nOf."
+    assert got == {1: (want, len(want)), 2: ("", 0), 3: ("", 0), None: (want, len(want))}
+    assert extract_text(rows.limit(0)).count() == 0
+
+
+def test_secrets(spark, docs, none):
+    text = "é user = alice, password: hunter2 at host=db.example.org token = '0123456789abcdef0123' " + "x" * 900 + " login: bob"
+    many = " ".join("token=abcdefghijklmn" for _ in range(600))
+    rows = {r.doc_id: r for r in scan_secrets(spark.createDataFrame([(1, text), (2, None), (3, "user = alone"), (4, many)], "doc_id int, text string")).collect()}
+    place = lambda s: f"{text.index(s)}:{text.index(s) + len(s)}"
+    token = text.index("token")
+    assert f"assign:{token}:" in rows[1].spans and "hex:" in rows[1].spans
+    assert f"linked_id:{place('user = alice')}" in rows[1].spans and f"linked_secret:{place('password: hunter2')}" in rows[1].spans
+    assert f"linked_endpoint:{place('host=db.example.org')}" in rows[1].spans and "bob" not in text[:900] and rows[1].spans.count("linked_id") == 1
+    assert (rows[2].spans, rows[3].spans) == ("", "") and rows[4].n_assign == 600
+    assert rows[4].spans == ",".join(f"assign:{m.start()}:{m.end()}" for m in re.finditer(r"token=\w+", many))
+    assert scan_secrets(docs).count() == len(ODD) and scan_secrets(none).count() == 0
+
+
+def brute_base(text):
+    luhn = lambda s: sum(n - 9 if n > 9 else n for n in (int(c) * (1 + i % 2) for i, c in enumerate(reversed(s)))) % 10 == 0
+    digits = lambda s: re.sub("[^0-9]", "", s)
+    spans = lambda p, keep: [m.span() for m in re.finditer(p, text) if keep(m[0])]
+    return [
+        spans(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", bool),
+        spans(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda s: all(int(x) <= 255 for x in s.split("."))),
+        spans(r"[0-9]([\x20-]?[0-9])+", lambda s: 16 <= len(digits(s)) <= 19 and luhn(digits(s))),
+        spans(r"\+[0-9][\x20().0-9-]+[0-9]", lambda s: 8 <= len(digits(s)) <= 15),
+    ]
+
+
+def test_personal_data(spark, docs, none):
+    rng = random.Random(1)
+    for _ in range(3000):
+        text = "".join(rng.choice("a.@-+0 19(%x\n") for _ in range(50))
+        assert base_spans(text) == brute_base(text)
+    model = train_crf()
+    from aidmatch.llm.crf_pii import _parse
+    right = sum(model.decode([model.scores(f)])[0].tolist() == y for f, y in map(_parse, LABELLED))
+    assert right >= 0.95 * len(LABELLED)
+    row = find_personal_data(spark.createDataFrame([(1, "tel. 020 7946 0018 and a.b@c.de")], "doc_id int, text string")).first()
+    assert row.n_email == 1 and "crf_phone:5:18" in row.spans and row.spans.startswith("email:23:31")
+    assert find_personal_data(docs).count() == len(ODD) and find_personal_data(none).count() == 0
+
+
+def test_toxicity(spark, docs, none, sf_dir):
+    table = spark.read.parquet(sf_dir.replace("0.001", "0.1") + "/documents.parquet")
+    labels = spark.read.parquet(sf_dir.replace("0.001", "0.1") + "/labels.parquet")
+    rows = score_toxicity(table, labels).join(labels, "doc_id").filter("held_out").toPandas()
+    assert (rows.predicted == rows.toxic).mean() > 0.97 and rows.score.between(0, 1).all()
+    assert ((rows.predicted == 1) & (rows.toxic == 0)).sum() <= 0.01 * len(rows)
+    assert score_toxicity(docs, labels.limit(0)).count() == len(ODD) and score_toxicity(none, labels).count() == 0
+
+
+def test_nearest(spark):
+    rng = np.random.default_rng(5)
+    vectors = rng.standard_normal((400, 6)) * rng.uniform(0.5, 2, (400, 1))
+    vectors[50:120] = vectors[50]
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)] + [(500, None), (501, [0.0] * 6), (502, [float("nan")] * 6), (503, [None] * 6)]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = nearest(table, table.filter("vec_id % 20 = 0")).toPandas()
+    hit = 0
+    for query in range(0, 400, 20):
+        score = vectors @ vectors[query]
+        want = sorted((i for i in range(400) if i != query), key=lambda i: (-score[i], i))[:20]
+        hit += len(set(want) & set(got[got.query_id == query].vec_id))
+    assert hit >= 0.95 * 400 and set(got.query_id) == set(range(0, 400, 20)) and got["rank"].max() == 20
+    assert nearest(table.limit(0), table.limit(0)).count() == 0
