@@ -15,8 +15,7 @@ from aidmatch.functions.geo import format_coordinates, haversine_km, parse_coord
 from aidmatch.operators import leftovers as L  # noqa: E402
 from aidmatch.operators import validation as V  # noqa: E402
 from aidmatch.operators.assignment import assign, urgency_order  # noqa: E402
-from aidmatch.operators.places import place_name, with_place_name  # noqa: E402
-from aidmatch.operators.places import FORM_DEFAULT, FORM_PRECEDENCE  # noqa: E402
+from aidmatch.operators.places import with_place_name  # noqa: E402
 from aidmatch.operators.proximity import nearest_volunteer, reachable  # noqa: E402
 from aidmatch.operators.windows import dedupe, group_sizes, tumbling, window_counts  # noqa: E402
 from aidmatch.plans import dashboard  # noqa: E402
@@ -183,8 +182,9 @@ def urgency_order_query(spark, sf):
 
 
 def haversine_pairs(spark, sf):
-    places = T.gazetteer(spark, sf).select(
-        place_name(FORM_PRECEDENCE, FORM_DEFAULT).alias("poblacion"), F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon")
+    nations = T.table(spark, sf, "nation").select(F.col("n_nationkey").cast("long").alias("place_id"), F.col("n_name").alias("poblacion"))
+    places = T.gazetteer(spark, sf).join(nations, "place_id").select(
+        "poblacion", F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon")
     )
     df = T.records(spark, sf).join(places, "poblacion")
     km = haversine_km(F.col("p_lat"), F.col("p_lon"), F.col("lat"), F.col("lon"))
@@ -576,7 +576,7 @@ SELECT w, categoria, id, CAST(row_number() OVER (PARTITION BY w, categoria
        ORDER BY coalesce(nivel_urgencia, 0) DESC, ts, id) AS INTEGER) AS turn FROM r WHERE is_help""",
         "haversine_pairs": f"""WITH {_RECORDS},
 places AS (SELECT n_name, (39000000 + n_nationkey * 31000) / 1e6 AS p_lat, (n_nationkey * 24000 - 800000) / 1e6 AS p_lon
-           FROM nation WHERE n_nationkey <> 5),
+           FROM nation),
 halves AS (SELECT id, poblacion, pow(sin(radians(lat - p_lat) / 2), 2)
              + cos(radians(p_lat)) * cos(radians(lat)) * pow(sin(radians(lon - p_lon) / 2), 2) AS a
            FROM records JOIN places ON n_name = poblacion)

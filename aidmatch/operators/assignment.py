@@ -40,9 +40,13 @@ def urgency(nivel: Column) -> Column:
     return F.coalesce(nivel, F.lit(0))
 
 
+#: Times to the microsecond; by default JSON keeps milliseconds.
+WHOLE_TIMES = {f"{kind}Format": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS" for kind in ("timestamp", "timestampNTZ")}
+
+
 def with_record_key(df: DataFrame) -> DataFrame:
     """A key of the whole record; copies of one id that differ get different keys."""
-    return df.withColumn("rec_key", F.sha2(F.to_json(F.struct(*PAYLOAD)), 256))
+    return df.withColumn("rec_key", F.sha2(F.to_json(F.struct(*PAYLOAD), WHOLE_TIMES), 256))
 
 
 def urgency_order(df: DataFrame) -> DataFrame:
@@ -86,7 +90,10 @@ def split_by_size(df: DataFrame, max_rows: int = MAX_GROUP_ROWS, max_pairs: int
         return df, None
     hot = checkpointed(hot)
     keys = F.broadcast(hot) if count <= BROADCAST_GROUPS else hot
-    return df.join(keys, GROUP, "left_anti"), df.join(keys, GROUP, "left_semi")
+    # a null category is a group like any other
+    keys = keys.select(*(F.col(c).alias(f"hot_{c}") for c in GROUP))
+    same = [F.col(c).eqNullSafe(F.col(f"hot_{c}")) for c in GROUP]
+    return df.join(keys, same, "left_anti"), df.join(keys, same, "left_semi")
 
 
 def assign(
