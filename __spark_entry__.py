@@ -315,7 +315,7 @@ def category_demand(spark, sf):
 
 
 def place_enrichment(spark, sf):
-    df = with_place_name(T.records(spark, sf), T.gazetteer(spark, sf), "id")
+    df = with_place_name(T.records(spark, sf), T.gazetteer(spark, sf))
     return df.select("id", "place_id", "place_name", F.round("place_km", 6).alias("place_km"))
 
 

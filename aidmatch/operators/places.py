@@ -21,16 +21,17 @@ def place_name(precedence: list, default: str):
     return F.coalesce(*[F.nullif(F.col(c), F.lit("")) for c in precedence], F.lit(default))
 
 
-def nearest_place(df: DataFrame, gazetteer: DataFrame, key: str) -> DataFrame:
+def nearest_place(df: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """Add the nearest place (all gazetteer columns as ``place``) and ``place_km`` to points with lat, lon.
 
-    Points collapse into 2 km tiles. On every level of the grid one place stands
+    Positions are searched once each, whatever rows share them, and collapse into 2 km tiles. On every level of the grid one place stands
     for its cube; the nearest stand-in around a tile bounds how far the nearest
     place of any of its points can be, and only places within that bound are
     compared. Neither side has to fit in memory.
     """
     places = gazetteer.select(F.struct(*gazetteer.columns).alias("place"), position(F.col("lat"), F.col("lon")).alias("p_pos"))
-    points = point_cells(df.withColumn("pos", position(F.col("lat"), F.col("lon"))), "pos", [_TILE_LEVEL])
+    at = position(F.col("lat"), F.col("lon"))
+    points = point_cells(df.select(at.alias("pos")).distinct(), "pos", [_TILE_LEVEL])
     points = points.withColumnsRenamed(dict(zip(CELL[1:], _TILE))).drop("level")
     # Any of its points can speak for a tile: the others are at most a diagonal away.
     tiles = points.groupBy(*_TILE).agg(F.min("pos").alias("c_pos"))
@@ -44,12 +45,13 @@ def nearest_place(df: DataFrame, gazetteer: DataFrame, key: str) -> DataFrame:
     )
     options = within_circles(places, bounds, []).select(*_TILE, "place", "p_pos")
     best = F.min(F.struct(haversine(F.col("pos"), F.col("p_pos")).alias("place_km"), F.col("place.place_id"), F.col("place")))
-    found = points.select(key, "pos", *_TILE).join(options, _TILE).groupBy(key).agg(best.alias("best"))
-    return df.join(found.select(key, "best.place_km", "best.place"), key, "left")
+    found = points.select("pos", *_TILE).join(options, _TILE).groupBy("pos").agg(best.alias("best"))
+    found = found.select(F.col("pos").alias("place_pos"), "best.place_km", "best.place")
+    return df.withColumn("place_pos", at).join(found, "place_pos", "left").drop("place_pos")
 
 
-def with_place_name(df: DataFrame, gazetteer: DataFrame, key: str, precedence=FORM_PRECEDENCE, default=FORM_DEFAULT):
+def with_place_name(df: DataFrame, gazetteer: DataFrame, precedence=FORM_PRECEDENCE, default=FORM_DEFAULT):
     """Add ``place_id``, ``place_km`` and ``place_name``; the default name where there is no place."""
-    found = nearest_place(df, gazetteer, key)
+    found = nearest_place(df, gazetteer)
     names = place_name([f"place.{c}" for c in precedence], default)
     return found.withColumns({"place_id": F.col("place.place_id"), "place_name": names}).drop("place")

@@ -88,11 +88,16 @@ def test_places(spark):
         [(i, a, o, f"v{i}", "", None) for i, a, o in places], "place_id long, lat double, lon double, village string, town string, city string"
     )
     df = spark.createDataFrame(points, "id string, lat double, lon double")
-    got = {r["id"]: (r["place_id"], r["place_name"]) for r in with_place_name(df, gaz, "id").collect()}
+    got = {r["id"]: (r["place_id"], r["place_name"]) for r in with_place_name(df, gaz).collect()}
     for key, a, o in points:
         best = min(places, key=lambda p: km({"lat": p[1], "lon": p[2]}, {"lat": a, "lon": o}))[0]
         assert got[key] == (best, f"v{best}")
-    none = with_place_name(df, gaz.limit(0), "id", GENERATOR_PRECEDENCE, GENERATOR_DEFAULT)
+    # rows of one id have places of their own, rows without a position have none
+    twice = spark.createDataFrame([("x", 39.0, 0.0), ("x", 41.0, 0.0), ("x", 39.0, 0.0), ("y", None, None)], "id string, lat double, lon double")
+    near = [min(places, key=lambda p: km({"lat": p[1], "lon": p[2]}, {"lat": a, "lon": 0.0}))[0] for a in (39.0, 39.0, 41.0)]
+    rows = with_place_name(twice, gaz).orderBy("lat").collect()
+    assert [r["place_id"] for r in rows] == [None, *near] and rows[0]["place_name"] == "Desconocido"
+    none = with_place_name(df, gaz.limit(0), GENERATOR_PRECEDENCE, GENERATOR_DEFAULT)
     assert {r["place_name"] for r in none.collect()} == {""}
 
 
