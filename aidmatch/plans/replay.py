@@ -7,7 +7,7 @@ A window is right once all before it are, so the end is the sequential result;
 in practice a change dies out after a few windows.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aidmatch.operators.windows import GROUP, dedupe
@@ -18,15 +18,28 @@ from aidmatch.workspace import checkpointed
 _COLUMNS = ["w", "is_help", *PAYLOAD, "ts", "lat", "lon"]
 
 
-def replay(windowed: DataFrame, length: str, max_attempts: int = MAX_ATTEMPTS, **bounds) -> Attempt:
-    """The attempt over every window with its inherited records, for windows of ``length``."""
+def next_window(again: DataFrame, length: str) -> DataFrame:
+    """Records that return, arriving at the start of the window after theirs."""
+    start = F.col("w") + F.expr(f"INTERVAL {length}")
+    return again.withColumns({"w": start, "ts": start}).select(*_COLUMNS)
+
+
+def micros(column: str) -> Column:
+    return F.unix_micros(F.col(column).cast("timestamp"))
+
+
+def replay(windowed: DataFrame, length: str, max_attempts: int = MAX_ATTEMPTS, until: int | None = None, **bounds) -> Attempt:
+    """The attempt over every window with its inherited records, for windows of ``length``.
+
+    With ``until`` (the start of a window in microseconds), later windows are
+    left open: what the last one passes on is among the ``retries`` of the result.
+    """
     fresh = checkpointed(dedupe(windowed).select(*_COLUMNS))
     step = F.expr(f"INTERVAL {length}")
 
     def passed_on(records: DataFrame) -> DataFrame:
-        """Live leftovers, arriving at the start of the window after theirs."""
-        again = attempt(records, max_attempts, **bounds).retries
-        return again.withColumns({"w": F.col("w") + step, "ts": F.col("w") + step}).select(*_COLUMNS)
+        again = next_window(attempt(records, max_attempts, **bounds).retries, length)
+        return again if until is None else again.filter(micros("w") <= until)
 
     carried = checkpointed(passed_on(fresh))
     dirty = checkpointed(carried.select(*GROUP).distinct())

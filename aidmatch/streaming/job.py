@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from aidmatch.operators.leftovers import outcome_counts
-from aidmatch.plans.attempt import attempt
+from aidmatch.plans.attempt import Attempt, attempt
+from aidmatch.plans.replay import micros, next_window, replay
 from aidmatch.schemas import MATCH_EVENT, MAX_ATTEMPTS, PAYLOAD, WINDOW_LENGTH
 from aidmatch.sources.messages import encode, encode_record, parse, quarantine, read_messages, sound
 from aidmatch.sources.sinks import publish, write_batch
@@ -24,10 +25,15 @@ class StreamConfig:
 
     ``watermark_scope`` is ``"source"`` (a lagging stream holds windows open,
     as long as both keep sending) or ``"union"`` (one clock for both; a lagging
-    stream can lose records as late, but an idle one holds nothing up).
-
-    ``retry_clock`` stamps a returned record: ``"now"`` for live streams, or
-    ``"window"`` (the end of its window) when the past is replayed.
+    stream can lose records as late, but an idle one holds nothing up). A window
+    closes when the clock is ``delay`` past its end.
+
+    ``retry_clock`` says when leftovers are tried again. ``"now"``, for live
+    streams: they are published to the retry sinks with the current time.
+    ``"window"``, when the past is replayed: by then the clock can be far past
+    the next window, so they do not return through the sources, where they could
+    be dropped as late. A batch takes them from window to window up to the last
+    one that it closes, and the rest wait in a table for the next batch.
     """
 
     tables: str
@@ -39,8 +45,8 @@ class StreamConfig:
     volunteer_retry: dict
     source_format: str = "parquet"
     window: str = WINDOW_LENGTH
-    delay: str = "0 seconds"
-    watermark_scope: str = "union"
+    delay: str = "30 seconds"
+    watermark_scope: str = "source"
     retry_clock: str = "now"
     max_attempts: int = MAX_ATTEMPTS
     urgencia_alias: bool = False
@@ -70,29 +76,58 @@ def windowed_stream(spark: SparkSession, cfg: StreamConfig) -> DataFrame:
 
 
 def process_batch(batch: DataFrame, batch_id: int, cfg: StreamConfig) -> None:
-    """One attempt over the windows that closed; every output is keyed by the batch id."""
+    """The windows that closed; every output is keyed by the batch id."""
     batch = batch.persist()
-    if batch.isEmpty():
-        batch.unpersist()
-        return
-    done = attempt(batch, cfg.max_attempts, **cfg.bounds).saved()
-    step = F.expr(f"INTERVAL {cfg.window}")
     try:
-        matched = done.matched
-        write_batch(matched, f"{cfg.tables}/matched_pairs", batch_id)
-        write_batch(done.requests, f"{cfg.tables}/unmatched_requests", batch_id)
-        write_batch(done.volunteers, f"{cfg.tables}/unmatched_volunteers", batch_id)
-        write_batch(outcome_counts(batch, done.outcomes, cfg.max_attempts), f"{cfg.tables}/outcome_counts", batch_id)
-        publish(encode(matched).withColumn("ts", F.current_timestamp()), batch_id, **cfg.events_sink)
-        again = done.retries.withColumn(
-            "ts", F.current_timestamp() if cfg.retry_clock == "now" else F.col("w") + step
-        )
-        for keep, sink in ((F.col("is_help"), cfg.help_retry), (~F.col("is_help"), cfg.volunteer_retry)):
-            publish(encode_record(again.filter(keep), "ts"), batch_id, **sink)
+        if cfg.retry_clock == "window":
+            _replay_batch(batch, batch_id, cfg)
+        elif not batch.isEmpty():
+            done = attempt(batch, cfg.max_attempts, **cfg.bounds).saved()
+            _write(done, batch_id, cfg)
+            again = done.retries.withColumn("ts", F.current_timestamp())
+            for keep, sink in ((F.col("is_help"), cfg.help_retry), (~F.col("is_help"), cfg.volunteer_retry)):
+                publish(encode_record(again.filter(keep), "ts"), batch_id, **sink)
     finally:
         batch.unpersist()
 
 
+def _replay_batch(batch: DataFrame, batch_id: int, cfg: StreamConfig) -> None:
+    """All windows up to the last that closed, with what waits from the batch before.
+
+    Of the waiting records there are two tables in turn: a batch reads the one
+    and writes the other, so a batch that is run again finds the same records.
+    """
+    old, new = (f"{cfg.tables}/waiting/{(batch_id + k) % 2}" for k in (1, 0))
+    waiting = batch.limit(0) if batch_id == 0 else batch.sparkSession.read.schema(batch.schema).parquet(old)
+    until = batch.agg(F.max(micros("w"))).first()[0]
+    if until is None:
+        waiting.write.mode("overwrite").parquet(new)
+        return
+    # windows close in order, so what waits belongs to no later window than this batch's
+    both = batch.unionByName(waiting)
+    if both.agg(F.min(micros("w"))).first()[0] == until:
+        done = attempt(both, cfg.max_attempts, **cfg.bounds).saved()  # one window passes nothing on within the batch
+    else:
+        done = replay(both, cfg.window, cfg.max_attempts, until=until, **cfg.bounds).saved()
+    _write(done, batch_id, cfg)
+    last = done.retries.filter(micros("w") == until)
+    next_window(last, cfg.window).select(*batch.columns).write.mode("overwrite").parquet(new)
+
+
+def _write(done: Attempt, batch_id: int, cfg: StreamConfig) -> None:
+    matched = done.matched
+    write_batch(matched, f"{cfg.tables}/matched_pairs", batch_id)
+    write_batch(done.requests, f"{cfg.tables}/unmatched_requests", batch_id)
+    write_batch(done.volunteers, f"{cfg.tables}/unmatched_volunteers", batch_id)
+    sides = [
+        done.outcomes.filter(f"{side} IS NOT NULL").select("w", F.lit(side == "help").alias("is_help"), f"{side}.*")
+        for side in ("help", "volunteer")
+    ]
+    counts = outcome_counts(sides[0].unionByName(sides[1]), done.outcomes, cfg.max_attempts)
+    write_batch(counts, f"{cfg.tables}/outcome_counts", batch_id)
+    publish(encode(matched).withColumn("ts", F.current_timestamp()), batch_id, **cfg.events_sink)
+
+
 def run_stream(spark: SparkSession, cfg: StreamConfig, **trigger) -> StreamingQuery:
     """Start the job; ``trigger`` is passed on, such as ``processingTime="10 seconds"``."""
     writer = windowed_stream(spark, cfg).writeStream.outputMode("append")

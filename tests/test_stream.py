@@ -44,7 +44,8 @@ def test_stream_equals_batch_replay(spark, tmp_path):
         rows += [need(f"h{w}{i}", lat=39.3 + rng.random() / 5, urgency=rng.randint(1, 5), at=i, w=w) for i in range(8)]
         rows += [offer(f"v{w}{i}", lat=39.3 + rng.random() / 5, radius=rng.choice([2, 5]), at=i, w=w) for i in range(8)]
     rows[0]["nombre"] = "Begoña Núñez"
-    cfg = config(tmp_path)
+    # only the volunteers send the records that close windows, so both streams share a clock
+    cfg = config(tmp_path, watermark_scope="union", delay="0 seconds")
     for r in rows:
         assert r["ts"].tzinfo is None
     send(spark, f"{tmp_path}/help", "w0", [r for r in rows[:16] if r["is_help"]] + rows[:1], extra=[("{broken", START.replace(tzinfo=timezone.utc))])
@@ -90,6 +91,47 @@ def test_stream_equals_batch_replay(spark, tmp_path):
     assert [(r["value"], r["fault"]) for r in bad if r["value"] == "{broken"] == [("{broken", "no id")]
 
 
+@pytest.mark.parametrize("lagging", [False, True])
+def test_backlog_or_lagging_stream_loses_nothing(spark, tmp_path, lagging):
+    """Several windows read at once, or volunteers a batch behind the requests, under the default clock."""
+    rng = random.Random(8)
+    rows = []
+    for w in range(4):
+        rows += [need(f"h{w}{i}", lat=39.3 + rng.random() / 3, urgency=rng.randint(1, 5), at=i, w=w) for i in range(6)]
+        rows += [offer(f"v{w}{i}", lat=39.3 + rng.random() / 3, radius=rng.choice([2, 6]), at=i, w=w) for i in range(6)]
+    sides = {"help": [r for r in rows if r["is_help"]], "volunteer": [r for r in rows if not r["is_help"]]}
+    cfg = config(tmp_path)
+    send(spark, f"{tmp_path}/help", "a", sides["help"])
+    send(spark, f"{tmp_path}/volunteer", "a", [offer("first", cat="Maquinaria", radius=0)] if lagging else sides["volunteer"])
+    query = run_stream(spark, cfg)
+    query.processAllAvailable()
+    if lagging:
+        send(spark, f"{tmp_path}/volunteer", "b", sides["volunteer"])
+        query.processAllAvailable()
+    # far outside every radius and category; the clock jumps over several windows
+    for w in (15, 30):
+        send(spark, f"{tmp_path}/help", f"w{w}", [need(f"tick{w}", cat="Maquinaria", lat=43.0, w=w)])
+        send(spark, f"{tmp_path}/volunteer", f"w{w}", [offer(f"tock{w}", cat="Maquinaria", w=w, radius=0)])
+        query.processAllAvailable()
+    dropped = sum(int(op.numRowsDroppedByWatermark) for p in query.recentProgress for op in p.stateOperators)
+    query.stop()
+    done = replay(frame(spark, rows), "60 seconds")
+
+    def ids(df):
+        return sorted(r["id"] for r in df.filter("categoria <> 'Maquinaria'").select("id").collect())
+
+    def pairs(df):
+        columns = ("help_ubicacion", "volunteer_ubicacion", F.round("distance", 6))
+        return sorted(tuple(r) for r in df.filter("categoria <> 'Maquinaria'").select(*columns).collect())
+
+    read = lambda name: spark.read.parquet(f"{tmp_path}/tables/{name}")
+    assert dropped == 0
+    assert pairs(read("matched_pairs")) == pairs(done.matched)
+    assert ids(read("unmatched_requests")) == ids(done.requests)
+    assert ids(read("unmatched_volunteers")) == ids(done.volunteers)
+    assert 2 * len(pairs(done.matched)) + len(ids(done.requests)) + len(ids(done.volunteers)) == len(rows)
+
+
 @pytest.mark.parametrize("scope", ["union", "source"])
 def test_late_record_is_dropped_and_window_fires_once(spark, tmp_path, scope):
     cfg = config(tmp_path, watermark_scope=scope)
