@@ -102,14 +102,19 @@ def assign(
     max_pairs: int = MAX_GROUP_PAIRS,
     preferences: int = PREFERENCES,
     block_requests: int = BLOCK_REQUESTS,
+    most_rows: int | None = None,
 ) -> DataFrame:
     """Outcomes of one attempt for windowed records.
 
     One row per match (``help``, ``volunteer``, ``distance``) and per leftover
     (one side only, no distance). A leftover request is left out when a copy
     with its id matched earlier in the order, a leftover volunteer when a copy
-    with its id matched at all.
+    with its id matched at all. ``most_rows`` is a number of rows that the caller
+    knows no group to exceed; where that alone keeps groups within the bounds,
+    they are not counted.
     """
+    if most_rows is not None and most_rows <= max_rows and most_rows**2 <= 4 * max_pairs:
+        return _assign_bounded(df)
     bounded, large = split_by_size(df, max_rows, max_pairs)
     out = _assign_bounded(bounded)
     if large is None:

@@ -36,6 +36,8 @@ def replay(windowed: DataFrame, length: str, max_attempts: int = MAX_ATTEMPTS, u
     """
     fresh = checkpointed(dedupe(windowed).select(*_COLUMNS))
     step = F.expr(f"INTERVAL {length}")
+    # a record is in a window once, so no group outgrows the table
+    bounds = {"most_rows": fresh.count(), **bounds}
 
     def passed_on(records: DataFrame) -> DataFrame:
         again = next_window(attempt(records, max_attempts, **bounds).retries, length)

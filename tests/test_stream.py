@@ -60,7 +60,7 @@ def test_stream_equals_batch_replay(spark, tmp_path):
         query.processAllAvailable()
         query.processAllAvailable()
     query.stop()
-    done = replay(frame(spark, rows), "60 seconds")
+    done = replay(frame(spark, rows), "60 seconds").saved()
 
     def read(name):
         return spark.read.parquet(f"{tmp_path}/tables/{name}").filter("categoria <> 'Maquinaria'")
@@ -96,11 +96,11 @@ def test_backlog_or_lagging_stream_loses_nothing(spark, tmp_path, lagging):
     """Several windows read at once, or volunteers a batch behind the requests, under the default clock."""
     rng = random.Random(8)
     rows = []
-    for w in range(4):
+    for w in range(3):
         rows += [need(f"h{w}{i}", lat=39.3 + rng.random() / 3, urgency=rng.randint(1, 5), at=i, w=w) for i in range(6)]
         rows += [offer(f"v{w}{i}", lat=39.3 + rng.random() / 3, radius=rng.choice([2, 6]), at=i, w=w) for i in range(6)]
     sides = {"help": [r for r in rows if r["is_help"]], "volunteer": [r for r in rows if not r["is_help"]]}
-    cfg = config(tmp_path)
+    cfg = config(tmp_path, max_attempts=3)
     send(spark, f"{tmp_path}/help", "a", sides["help"])
     send(spark, f"{tmp_path}/volunteer", "a", [offer("first", cat="Maquinaria", radius=0)] if lagging else sides["volunteer"])
     query = run_stream(spark, cfg)
@@ -109,13 +109,13 @@ def test_backlog_or_lagging_stream_loses_nothing(spark, tmp_path, lagging):
         send(spark, f"{tmp_path}/volunteer", "b", sides["volunteer"])
         query.processAllAvailable()
     # far outside every radius and category; the clock jumps over several windows
-    for w in (15, 30):
+    for w in (8, 16):
         send(spark, f"{tmp_path}/help", f"w{w}", [need(f"tick{w}", cat="Maquinaria", lat=43.0, w=w)])
         send(spark, f"{tmp_path}/volunteer", f"w{w}", [offer(f"tock{w}", cat="Maquinaria", w=w, radius=0)])
         query.processAllAvailable()
     dropped = sum(int(op.numRowsDroppedByWatermark) for p in query.recentProgress for op in p.stateOperators)
     query.stop()
-    done = replay(frame(spark, rows), "60 seconds")
+    done = replay(frame(spark, rows), "60 seconds", max_attempts=3).saved()
 
     def ids(df):
         return sorted(r["id"] for r in df.filter("categoria <> 'Maquinaria'").select("id").collect())
