@@ -5,8 +5,9 @@ identifiers, long hexadecimal runs. Weak candidates (an account name, a bare
 token, a short password, an endpoint) mean little alone. They are parts of one
 credential when complementary parts lie within ``SCOPE`` code points: parts are
 ordered by place, running extremes give the nearest part of each other sort
-before and after, and a candidate is reported when its complement is near. That
-interval join takes one pass over the parts of a text, no pairs are made.
+before and after, and a candidate is reported when its complement is near and no
+strong finding covers it. That interval join takes one pass over the parts of a
+text, no pairs are made.
 """
 
 from __future__ import annotations
@@ -26,13 +27,12 @@ BASE = [
     ("access", r"AKIA[A-Z0-9]{14,}", 0, 18),
     ("hex", r"[0-9a-f]{16,}", 0, 16),
 ]
-#: kind, part of a credential, pattern
+#: kind, part of a credential, pattern; names may follow a prefix that ends in "_", a token the "=" after a name
 WEAK = [
-    ("linked_id", "id", r"(?<![A-Za-z0-9_])(?i:user(?:name)?|login|account|client_?id|key_?id)" + _VALUE + r"[A-Za-z0-9._@-]{3,64}"),
-    ("linked_secret", "secret", r"(?<![A-Za-z0-9_])(?i:pass|pwd|password|passwd|secret)" + _VALUE
-     + r"[A-Za-z0-9+/_.=!#$%&*-]{4,11}(?![A-Za-z0-9+/_.=!#$%&*-])"),
-    ("linked_token", "secret", r"(?<![A-Za-z0-9/+=])(?=[A-Za-z/+]{0,39}[0-9])(?=[a-z0-9/+]{0,39}[A-Z])[A-Za-z0-9/+]{40}(?![A-Za-z0-9/+=])"),
-    ("linked_endpoint", "endpoint", r"(?:(?:https?|jdbc:[a-z]+|postgres|mysql|mongodb|redis|amqp|ftp)://|(?<![A-Za-z0-9_])(?i:host|endpoint|server)"
+    ("linked_id", "id", r"(?<![A-Za-z0-9])(?i:user(?:name)?|login|account|client_?id|key_?id)" + _VALUE + r"[A-Za-z0-9._@-]{3,}"),
+    ("linked_secret", "secret", r"(?<![A-Za-z0-9])(?i:pass|pwd|password|passwd|secret)" + _VALUE + r"[A-Za-z0-9+/_.=!#$%&*-]{4,}"),
+    ("linked_token", "secret", r"(?:(?<![A-Za-z0-9/+=])|(?<=[A-Za-z0-9_\x20\"'\]:]=))(?=[A-Za-z/+]{0,39}[0-9])(?=[a-z0-9/+]{0,39}[A-Z])[A-Za-z0-9/+]{40}(?![A-Za-z0-9/+=])"),
+    ("linked_endpoint", "endpoint", r"(?:(?:https?|jdbc:[a-z]+|postgres|mysql|mongodb|redis|amqp|ftp)://|(?<![A-Za-z0-9])(?i:host|endpoint|server)"
      + _VALUE + r")[A-Za-z0-9._-]+(?::[0-9]{1,5})?"),
 ]
 #: Part of a credential that a strong finding is.
@@ -91,7 +91,7 @@ def _joined(spans: Column) -> Column:
 
 
 def linked(parts: DataFrame) -> DataFrame:
-    """The weak parts (row_id, part, weak, low, high, nth) that have a complement within the scope."""
+    """The weak parts (row_id, part, weak, low, high, nth) that have a complement within the scope and lie in no strong finding."""
     back = Window.partitionBy("row_id").orderBy("low", "high", "nth").rowsBetween(Window.unboundedPreceding, -1)
     ahead = Window.partitionBy("row_id").orderBy(F.desc("low"), F.desc("high"), F.desc("nth")).rowsBetween(Window.unboundedPreceding, -1)
 
@@ -100,12 +100,14 @@ def linked(parts: DataFrame) -> DataFrame:
         after = F.min(F.when(F.col("part") == sort, F.col("low"))).over(ahead)
         return F.coalesce(F.col("low") - before <= SCOPE, F.lit(False)) | F.coalesce(after - F.col("high") <= SCOPE, F.lit(False))
 
-    marked = parts.withColumns({f"near_{sort}": near(sort) for sort in COMPLEMENT})
+    begun = Window.partitionBy("row_id").orderBy("low").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    covered = F.coalesce(F.max(F.when(~F.col("weak"), F.col("high"))).over(begun) >= F.col("high"), F.lit(False))
+    marked = parts.withColumns({f"near_{sort}": near(sort) for sort in COMPLEMENT}).withColumn("covered", covered)
     fits = F.lit(False)
     for part, others in COMPLEMENT.items():
         for other in others:
             fits = fits | ((F.col("part") == part) & F.col(f"near_{other}"))
-    return marked.filter(F.col("weak") & fits).select("row_id", "low", "nth", "high")
+    return marked.filter(F.col("weak") & ~F.col("covered") & fits).select("row_id", "low", "nth", "high")
 
 
 def scan_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
