@@ -36,6 +36,16 @@ _INLINE = frozenset(
 )
 #: An element that opens closes the elements of these names that are open inside the nearest holder.
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+#: What can stand in a head; all else ends it.
+_IN_HEAD = frozenset("html head base basefont bgsound link meta title script style noscript template noframes".split())
+#: Hidden elements that go on over other elements when their end tag is missing, and the blocks that then end them.
+_OPEN_ENDED = frozenset("noscript select button object svg canvas audio video".split())
+_BLOCKS = frozenset(
+    "address article aside blockquote center dd details dialog div dl dt fieldset figure footer form h1 h2 h3 h4 h5 h6 header li main nav ol p "
+    "pre section table tbody td th tr ul".split()
+)
+#: Elements that an element of this name ends.
+_ENDS = {"button": "button", "select": "select", "input": "select", "textarea": "select"}
 _HOLDERS = frozenset("ul ol dl table tbody thead tfoot body html article section div main aside nav".split())
 
 _TAGS = "nav footer header aside form article main section p li td pre blockquote h1 h2 h3 figure".split()
@@ -78,10 +88,17 @@ _WORD_BIT = {w: 1 << i for i, words in enumerate(_WORDS.values()) for w in words
 
 
 class _Reader(HTMLParser):
-    """Reads a page into blocks; work per tag doesn't grow with the depth of the page."""
+    """Reads a page into blocks; work per tag doesn't grow with the depth of the page.
+
+    ``unclosed`` are the numbers of elements of ``_OPEN_ENDED`` that lack their
+    end tag, known from an earlier reading: the first block in them ends them.
+    """
 
-    def __init__(self):
+    def __init__(self, unclosed: frozenset[int] = frozenset()):
         super().__init__(convert_charrefs=True)
+        self.unclosed = unclosed
+        self.lacking: set[int] = set()  # found without an end tag
+        self.ending: list[Element] = []  # open elements of ``unclosed``
         self.open: list[Element] = []
         self.holders: list[Element] = [_ROOT]  # the open block elements
         self.names: Counter = Counter()
@@ -105,13 +122,39 @@ class _Reader(HTMLParser):
         self.open.pop()
         self.names[last.name] -= 1
         self.hidden -= last.name in _HIDDEN
+        if self.ending and self.ending[-1] is last:
+            self.ending.pop()
+
+    def drop(self):
+        """Pop what has no end tag."""
+        if self.open[-1].name in _OPEN_ENDED:
+            self.lacking.add(self.open[-1].number)
+        self.pop()
 
     def pop_to(self, name):
         while self.open[-1].name != name:
-            self.pop()
+            self.drop()
         self.pop()
 
+    def end_head(self):
+        """Close an open head unless something in it, such as a template, holds what comes."""
+        if self.names["head"] > 0 and (self.open[-1].name == "head" or self.open[-1].name == "noscript" and self.open[-2].name == "head"):
+            self.pop_to("head")
+
     def handle_starttag(self, tag, attrs):
+        if tag not in _IN_HEAD:
+            self.end_head()
+        elif tag == "head" and any(e.name != "html" for e in self.open):
+            return
+        ends = _ENDS.get(tag)
+        if ends and self.names[ends] > 0:
+            while self.open[-1].name != ends:
+                self.drop()
+            self.drop()
+        if self.ending and tag in _BLOCKS:
+            first = self.ending[0]
+            while self.ending and self.ending[0] is first:
+                self.drop()
         if tag in _VOID:
             self.text.append(" ")
             if tag == "hr":
@@ -141,6 +184,8 @@ class _Reader(HTMLParser):
             self.holders.append(here)
         self.names[tag] += 1
         self.hidden += tag in _HIDDEN
+        if self.count in self.unclosed:
+            self.ending.append(here)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -156,6 +201,8 @@ class _Reader(HTMLParser):
             self.flush()
 
     def handle_data(self, data):
+        if self.names["head"] > 0 and self.open[-1].name == "head" and data.strip():
+            self.end_head()
         if not self.hidden:
             self.text.append(data)
             if self.names["a"] > 0:
@@ -163,15 +210,22 @@ class _Reader(HTMLParser):
 
     def done(self) -> list[Block]:
         while self.open:
-            self.pop()
+            self.drop()
         self.flush()
         return self.blocks
 
 
 def blocks_of(html: str) -> list[Block]:
+    """The page's text blocks; pages with hidden elements that lack their end tag are read a second time."""
     reader = _Reader()
     reader.feed(html)
     reader.close()
+    blocks = reader.done()
+    if not reader.lacking:
+        return blocks
+    reader = _Reader(frozenset(reader.lacking))
+    reader.feed(html)
+    reader.close()
     return reader.done()
 
 

@@ -13,7 +13,7 @@ from aidmatch.llm import cuckoo_dedup as dedup
 from aidmatch.llm import parity_join as parity
 from aidmatch.llm.crf_pii import LABELLED, base_spans, find_personal_data
 from aidmatch.llm.crf_pii import train as train_crf
-from aidmatch.llm.mincut_html import extract_text, min_cut
+from aidmatch.llm.mincut_html import blocks_of, extract_text, min_cut
 from aidmatch.llm.packing import pack_documents
 from aidmatch.llm.pareto_mix import mix, repeat_by_mix
 from aidmatch.llm.queries import vocabulary
@@ -194,6 +194,25 @@ def test_html(spark):
     assert extract_text(rows.limit(0)).count() == 0
 
 
+def test_html_without_end_tags():
+    body = "<article><h1>A title</h1><p>First line of text that goes on for a while.</p><p>Second line of text that goes on, too.</p></article>"
+    texts = lambda html: [b.text for b in blocks_of(html)]
+    want = texts(f"<html><head><title>t</title></head><body>{body}</body></html>")
+    assert want == ["A title", "First line of text that goes on for a while.", "Second line of text that goes on, too."]
+    heads = ["<head>", "<head><title>a <b>t</b></title>", "<head><meta charset=x><script>1</script><noscript><link href=x></noscript>", "<head><head><title>t</title></head>",
+             "<head><template><div>x</div></template><style>p {}</style>", "<head><noscript><link href=x>"]
+    for head in heads:
+        for start in ("<body>", ""):
+            assert texts(f"<html>{head}{start}{body}") == want
+    assert texts("<head><title>t</title>Plain words" + body) == ["Plain words", *want]
+    assert texts(f"<body><p>x</p><head><p>y</p>{body}") == ["x", "y", *want]
+    for name in "noscript select button object svg canvas audio video".split():
+        assert texts(f"<body><div><{name}>x{body}</div></body>") == want == texts(f"<body><{name}>x{body}")
+        assert texts(f"<body><{name}>x</{name}>{body}") == want
+    assert texts(f"<body><noscript><p>Turn it on</p></noscript><object><p>x</p></object>{body}") == want
+    assert texts(f"<body><button>x<button>y</button><select><option>z<input>{body}") == want
+
+
 def test_secrets(spark, docs, none):
     text = "é user = alice, password: hunter2 at host=db.example.org token = '0123456789abcdef0123' " + "x" * 900 + " login: bob"
     many = " ".join("token=abcdefghijklmn" for _ in range(600))
