@@ -271,6 +271,42 @@ def test_personal_data(spark, docs, none):
     assert find_personal_data(docs).count() == len(ODD) and find_personal_data(none).count() == 0
 
 
+def test_personal_data_is_that_of_whole_texts(spark):
+    from aidmatch.llm.crf_pii import BASE, KINDS, LABELS, _features, _reaches, _tokens
+
+    model, rng = train_crf(), random.Random(6)
+    plain = [re.sub(r"\[(?:phone|mail|id|name)\|((?:[^\[\]]|\[[^\]|]*\])*)\]", r"\1", row) for row in LABELLED]
+    bits = [w for t in plain for w in t.split()] + ["x²", "²", "É", "漢字", "٣", "a_b", "|", "😀", "\n", "\x1c", "DOT", "MR.", "(AT)", "z" * 70]
+    short = ["12 a b c tel 020 7946 0018", "5 a b c passport no. X1234567", "MR. SMITH", "mrs. Jones", "john AT example DOT com", "maria (AT) example.org"]
+    texts = [*short, "", " ", "1", *plain]
+    texts += [rng.choice(["", " "]).join([t, *(rng.choice(plain) for _ in range(2))]) for t in plain]
+    texts += [rng.choice([" ", " ", ""]).join(rng.choice(bits) for _ in range(rng.randint(1, 60))) for _ in range(400)]
+    texts += [" ".join(rng.choice(["and", "so", "on", "٣", rng.choice(bits)]) for _ in range(rng.randint(1, 90))) for _ in range(400)]
+    texts += [" ".join(rng.choice(bits) + rng.choice(["", " ", " tel "]) for _ in range(1500))]
+
+    def whole(text, everywhere):
+        places, tokens, gaps = _tokens(text)
+        scores = model.scores(_features(tokens, gaps)) if tokens else []
+        reaches = [(0, len(text))] if everywhere else _reaches(text)
+        for i, (low, high) in enumerate(places):
+            if not any(a <= low and high <= b for a, b in reaches):
+                scores[i, 1:] = -1e9
+        out = []
+        for place, label in zip(places, model.decode([scores])[0].tolist() if tokens else []):
+            if LABELS[label][0] == "B":
+                out.append([*place, list(KINDS.values())[(label - 1) // 2]])
+            elif label:
+                out[-1][1] = place[1]
+        taken = [x for spans in base_spans(text) for x in spans]
+        return sorted(f"{k}:{a}:{b}" for a, b, k in out if not any(c < b and a < d for c, d in taken))
+
+    rows = find_personal_data(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")).collect()
+    got = {r.doc_id: sorted(x for x in r.spans.split(",") if x and x.split(":")[0] not in BASE) for r in rows}
+    assert got == {i: whole(t, False) for i, t in enumerate(texts)}
+    assert {i: got[i] for i in range(len(short))} == {i: whole(t, True) for i, t in enumerate(short)}
+    assert all(_reaches(t) == [(0, len(t))] for t in short[2:])
+
+
 def test_toxicity(spark, docs, none, sf_dir):
     table = spark.read.parquet(sf_dir.replace("0.001", "0.1") + "/documents.parquet")
     labels = spark.read.parquet(sf_dir.replace("0.001", "0.1") + "/labels.parquet")
