@@ -16,8 +16,12 @@ then the sets themselves. Within a group of sets that share a sketch no pairs
 are listed until they are needed. Every set is compared with the first of a group,
 then, as long as that joins components, with a few random members of the largest
 component that meets it. Only groups that still fall into several components are
-searched for all pairs across components. No link that could join two components
-is lost.
+searched for all pairs across components. A group of more than ``LARGE`` sets, such
+as those that share one passage, is parted first: its sets list again with the
+sketches of large groups last in the order, so that they meet by what few others
+have. The order is still one for all, so linked sets still meet. Groups that stay
+large, of sets that have hardly anything else, are dealt out as pairs of blocks. No
+link that could join two components is lost.
 
 Rows are single sets and sketches, groups stream through sorted partitions, and
 equal sets count as one. A set of n tokens lists about n / 4 parts.
@@ -52,6 +56,8 @@ BROADCAST_IDS = 4_000_000
 PER_HUB = 4096
 #: Random members of the largest component around that a set is compared with in one turn.
 MEET = 8
+#: Sets of a group that one task compares pair by pair, and of a block of a larger group.
+LARGE, BLOCK = 8192, 4096
 BLOCK_BYTES = 1 << 25
 
 _U = np.uint64
@@ -71,9 +77,10 @@ def set_id(tokens: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def listed_parts(tokens: np.ndarray) -> np.ndarray:
+def listed_parts(tokens: np.ndarray, last: np.ndarray | None = None) -> np.ndarray:
     """The sketches that a set lists, in its own class of sizes and in the next if it reaches that.
 
+    The sketches in ``last``, sorted, come after all others in the order.
     Sets of fewer than 4 tokens link only with equal sets and list nothing.
     """
     size, found = len(tokens), []
@@ -84,16 +91,20 @@ def listed_parts(tokens: np.ndarray) -> np.ndarray:
         keep = most_different(size, CLASSES[nth + 1] - 1) + 1
         seed = mix(np.array([nth + 1], dtype=np.uint64))[0]
         if nth == 0:
-            sketches = tokens[:keep]
+            sketches = tokens if last is not None else tokens[:keep]
         else:
             parts = _U(int(CLASSES[nth] / TOKENS_PER_PART))
             part = ((tokens >> _U(32)) * parts) >> _U(32)  # tokens are sorted, so parts are runs
             starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
             counts = np.diff(np.r_[starts, size])
             sketches = np.bitwise_xor.reduceat(mix(tokens), starts)
-            first = np.argsort(-counts, kind="stable")[:keep]
+            first = np.argsort(-counts, kind="stable")[:len(counts) if last is not None else keep]
             sketches = sketches[first] + part[starts[first]] * _U(0x9E3779B97F4A7C15)
-        found.append(mix(sketches ^ seed).view(np.int64))
+        sketches = mix(sketches ^ seed).view(np.int64)
+        if last is not None:
+            at = np.searchsorted(last, sketches) % len(last)
+            sketches = sketches[np.argsort(last[at] == sketches, kind="stable")[:keep]]
+        found.append(sketches)
     return np.concatenate(found)
 
 
@@ -194,11 +205,14 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a group in different components whose sizes and bit sketches allow a link; rows come sorted by sketch."""
+    """Pairs of a group in different components whose sizes and bit sketches allow a link; rows come sorted by group.
+
+    A row has a side; of a pair of blocks (sides 0 and 1) only pairs across count, in a whole group or block the side is 2.
+    """
     def pairs(rows):
         rows.sort(key=lambda r: r[0])
         sizes = np.array([r[0] for r in rows], dtype=np.int64)
-        names, parts = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+        names, parts, sides = (np.array([r[i] for r in rows]) for i in (1, 2, 4))
         width = min(len(r[3]) for r in rows)
         bits = np.stack([fold(np.frombuffer(r[3], dtype=np.uint8), width) for r in rows]).view(np.uint64)
         at = 0
@@ -213,6 +227,7 @@ def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 apart = np.bitwise_count(bits[at:end, None] ^ bits[None, other]).sum(axis=2, dtype=np.int64)
                 both = sizes[at:end, None] + sizes[None, other]
                 fit = (apart * (100 + PERCENT) <= both * (100 - PERCENT)) & (parts[at:end, None] != parts[None, other])
+                fit &= (sides[at:end, None] != sides[None, other]) | (sides[at:end, None] == 2)
                 fit &= np.arange(at, end)[:, None] < np.arange(other.start, other.stop)[None]
                 i, j = np.nonzero(fit)
                 if len(i):
@@ -223,8 +238,8 @@ def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     last, rows = None, []
     for batch in batches:
-        sketch = batch.column(0).to_pylist()
-        for key, *row in zip(sketch, *(batch.column(i).to_pylist() for i in range(1, 5))):
+        group = batch.column(0).to_pylist()
+        for key, *row in zip(group, *(batch.column(i).to_pylist() for i in range(1, 6))):
             if key != last:
                 if len(rows) > 1:
                     yield from pairs(rows)
@@ -293,6 +308,69 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _open(rows: DataFrame, components: DataFrame) -> DataFrame:
+    """The rows (sketch, n, set_id) of groups that lie in several components, with the component as ``part`` and the group's size."""
+    part = F.coalesce("component", "set_id")
+    placed = rows.join(components, F.col("set_id") == F.col("node"), "left").select("sketch", "n", "set_id", part.alias("part"))
+    apart = placed.groupBy("sketch").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("many")).filter("low <> high")
+    return placed.join(apart.select("sketch", "many"), "sketch")
+
+
+def _blocks(rows: DataFrame) -> DataFrame:
+    """Large groups as (group, n, set_id, part, side): every pair of sets whose sizes allow a link is in one group of two blocks, or one."""
+    # sizes of linked sets lie in one band or in two that follow each other
+    banded = rows.withColumn("band", F.floor(F.log("n") / F.log(F.lit(100 / PERCENT + 0.01))).cast("bigint"))
+    cuts = checkpointed(banded.groupBy("sketch", "band").agg(F.ceil(F.count("*") / BLOCK).cast("bigint").alias("cuts")))
+    near = lambda name, away: F.broadcast(cuts.select("sketch", (F.col("band") + away).alias("band"), F.col("cuts").alias(name)))
+    dealt = banded.join(near("own", 0), ["sketch", "band"])
+    for name, away in (("above", -1), ("below", 1)):
+        dealt = dealt.join(near(name, away), ["sketch", "band"], "left")
+    dealt = dealt.withColumn("cut", F.pmod(F.xxhash64("set_id"), "own"))
+    # band and cut of the pair's lower block, then of its upper, and the row's side
+    pair = "named_struct('a', {}, 'b', {}, 'c', {}, 'd', {}, 'side', {})"
+    to = lambda count, body: f"transform(filter(sequence(0L, coalesce({count}, 0L)), i -> i < coalesce({count}, 0L)), i -> {body})"
+    met = dealt.withColumn("met", F.explode(F.expr("concat(" + ", ".join((
+        to("own", pair.format("band", "least(i, cut)", "band", "greatest(i, cut)", "CASE WHEN i = cut THEN 2 WHEN cut < i THEN 0 ELSE 1 END")),
+        to("above", pair.format("band", "cut", "band + 1", "i", "0")),
+        to("below", pair.format("band - 1", "i", "band", "cut", "1")),
+    )) + ")")))
+    group = F.concat_ws(":", "sketch", "met.a", "met.b", "met.c", "met.d")
+    return met.select(group.alias("group"), "n", "set_id", "part", F.col("met.side").alias("side"))
+
+
+def groups_to_search(shared: DataFrame, sets: DataFrame, components: DataFrame) -> DataFrame:
+    """(group, n, set_id, part, side) of bounded groups in which every link between components is found."""
+    spark = shared.sparkSession
+    whole = lambda rows: rows.select(F.col("sketch").cast("string").alias("group"), "n", "set_id", "part", F.lit(2).alias("side"))
+    rows = checkpointed(_open(shared, components))
+    found = whole(rows.filter(F.col("many") <= LARGE))
+    last = np.empty(0, dtype=np.int64)
+    while True:
+        large = rows.filter(F.col("many") > LARGE)
+        names = np.array([r.sketch for r in large.select("sketch").distinct().collect()], dtype=np.int64)
+        if not len(names):
+            return found
+        if np.isin(names, last).all():
+            return found.unionByName(_blocks(large))
+        last = np.union1d(last, names)
+        order = spark.sparkContext.broadcast(last)
+
+        def list_again(batches: Iterator[pa.RecordBatch], order=order) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                listed = [listed_parts(np.frombuffer(t, dtype=np.uint64), order.value) for t in batch.column(2).to_pylist()]
+                if listed:
+                    at = np.repeat(np.arange(len(listed)), [len(x) for x in listed])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.concatenate(listed)), batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at))],
+                        names=["sketch", "n", "set_id"],
+                    )
+
+        again = sets.join(large.select("set_id").distinct(), "set_id", "left_semi").select("n", "set_id", "tokens")
+        listed = again.mapInArrow(list_again, "sketch bigint, n bigint, set_id bigint").distinct()
+        rows = checkpointed(_open(listed, components))
+        found = found.unionByName(whole(rows.filter(F.col("many") <= LARGE)))
+
+
 def link_sets(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """(node, component) of the sets that have links; ``rows`` (doc_id, set_id, n_shingles) belong to ``docs``."""
     spark = docs.sparkSession
@@ -358,13 +436,11 @@ def link_sets(docs: DataFrame, rows: DataFrame) -> DataFrame:
             break
 
     # what remains: any two sets of a group that lie in different components
-    placed = shared.join(components, F.col("set_id") == F.col("node"), "left").select("sketch", "n", "set_id", part.alias("part"))
-    apart = placed.groupBy("sketch").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low <> high")
-    open_ = placed.join(apart.select("sketch"), "sketch").join(sets.select("set_id", "bits"), "set_id").select(
-        "sketch", "n", "set_id", "part", "bits"
+    open_ = groups_to_search(shared, sets, components).join(sets.select("set_id", "bits"), "set_id").select(
+        "group", "n", "set_id", "part", "bits", "side"
     )
     near = checkpointed(
-        open_.repartition("sketch").sortWithinPartitions("sketch").mapInArrow(_near, "hub bigint, set_id bigint").distinct()
+        open_.repartition("group").sortWithinPartitions("group").mapInArrow(_near, "hub bigint, set_id bigint").distinct()
     )
     if near.isEmpty():
         return components

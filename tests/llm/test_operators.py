@@ -173,6 +173,59 @@ def test_listed_parts_of_linked_sets_meet():
                 assert np.intersect1d(parity.listed_parts(a), parity.listed_parts(b)).size
 
 
+def test_groups_of_one_passage_are_parted(spark, monkeypatch):
+    monkeypatch.setattr(parity, "LARGE", 24)
+    monkeypatch.setattr(parity, "BLOCK", 8)
+    rng, word = random.Random(8), lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    licence = " ".join(word() for _ in range(9))
+    # short texts around one passage; texts of little but a passage, of two halves each; longer texts; copies of some
+    texts = [" ".join([*(word() for _ in range(rng.randint(9, 40))), licence, *(word() for _ in range(6))]) for _ in range(120)]
+    texts += [" ".join([licence, *(word() for _ in range(rng.randint(1, 3)))]) for _ in range(60)]
+    texts += [" ".join(word() for _ in range(90)) for _ in range(6)]
+    texts += [t + " " + word() for t in texts[::5]]
+    sets = dict(enumerate(frozenset(shingle_set(t).tolist()) for t in texts))
+    linked = {(a, b) for a, b in itertools.combinations(sets, 2) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    name = {d: d for d in sets}
+    for _ in range(len(name)):
+        for a, b in linked:
+            name[a] = name[b] = min(name[a], name[b])
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    seen, search = [], parity.groups_to_search
+
+    def watched(shared, tables, components):
+        out = search(shared, tables, components)
+        seen.append(out.groupBy("group").count().agg({"count": "max"}).first()[0] or 0)
+        return out
+
+    monkeypatch.setattr(parity, "groups_to_search", watched)
+    assert {r.doc_id: r.component_id for r in parity.near_duplicates(table).collect()} == name
+
+    # with no components known, every link is in some group, and groups are bounded
+    tokens = [shingle_set(t) for t in texts]
+    ids = [parity.set_id(t) for t in tokens]
+    listed = [(int(x), len(t), i) for t, i in zip(tokens, ids) for x in set(parity.listed_parts(t).tolist())]
+    assert max(np.unique([x for x, *_ in listed], return_counts=True)[1]) > 150
+    shared = spark.createDataFrame(listed, "sketch bigint, n int, set_id bigint")
+    held = spark.createDataFrame([(i, len(t), t.tobytes()) for t, i in zip(tokens, ids)], "set_id bigint, n bigint, tokens binary")
+    rows = search(shared, held, spark.createDataFrame([], "node bigint, component bigint")).collect()
+    groups = {}
+    for r in rows:
+        groups.setdefault(r.group, []).append((r.set_id, r.side))
+    met = {frozenset((a, b)) for g in groups.values() for (a, x), (b, y) in itertools.combinations(g, 2) if x != y or x == 2}
+    assert all(frozenset((ids[a], ids[b])) in met for a, b in linked if ids[a] != ids[b])
+    assert max(map(len, groups.values())) <= 40 and max(seen) <= 40
+
+    # sets that have hardly anything else: every pair of fitting sizes meets once
+    sizes = [rng.randint(40, 90) for _ in range(120)]
+    large = spark.createDataFrame([(7, n, i, i) for i, n in enumerate(sizes)], "sketch bigint, n bigint, set_id bigint, part bigint")
+    groups = {}
+    for r in parity._blocks(large).collect():
+        groups.setdefault(r.group, []).append((r.set_id, r.side))
+    met = [frozenset((a, b)) for g in groups.values() for (a, x), (b, y) in itertools.combinations(g, 2) if x != y or x == 2]
+    assert len(met) == len(set(met)) and max(map(len, groups.values())) <= 40
+    assert {frozenset((a, b)) for a, b in itertools.combinations(range(120), 2) if 100 * min(sizes[a], sizes[b]) >= 80 * max(sizes[a], sizes[b])} <= set(met)
+
+
 def test_min_cut_is_least():
     rng = random.Random(2)
     for _ in range(60):
