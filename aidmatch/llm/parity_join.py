@@ -388,7 +388,8 @@ def link_sets(docs: DataFrame, rows: DataFrame) -> DataFrame:
         .select("doc_id").distinct()
     )
     ids = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
-    chosen = docs.join(ids, "doc_id", "left_semi").select(whole_text().alias("text"))
+    # no id leads to the rows without one, so all of them are read
+    chosen = docs.join(ids, "doc_id", "left_semi").unionByName(docs.filter("doc_id IS NULL")).select(whole_text().alias("text"))
     known = chosen.mapInArrow(_tokens, "set_id bigint, n bigint, tokens binary, bits binary").dropDuplicates(["set_id"])
     sets = checkpointed(known)
 

@@ -160,6 +160,13 @@ def test_near_duplicates(spark, docs, none):
     assert parity.keep_one(docs).columns == docs.columns
 
 
+def test_near_copy_without_id(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(5, text), (None, text + " end"), (6, "quite another text of some words")]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted((r.doc_id or 0, r.component_id) for r in parity.near_duplicates(table).collect()) == [(0, 5), (5, 5), (6, 6)]
+
+
 def test_listed_parts_of_linked_sets_meet():
     rng = np.random.default_rng(3)
     for size in [4, 5, 9, 50, 63, 64, 70, 200, 255, 256, 1500]:
