@@ -1,7 +1,10 @@
 """Where iterative jobs cut their lineage."""
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,13 +26,49 @@ def _shared_dir(spark: SparkSession) -> str:
     return _local_dir(context.applicationId)
 
 
+_scopes = threading.local()
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder and go on from the table.
 
     A lost executor costs no replay of the loop, readers take only the columns
-    they need, and the planner knows the size. Tables stay until the folder of
-    the application is removed.
+    they need, and the planner knows the size. Each task writes one file, so the
+    name of a file and the place in it tell rows apart. Tables stay until their
+    :func:`scratch` block ends, or else until the folder of the application is
+    removed.
     """
     path = f"{_shared_dir(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    if getattr(_scopes, "open", None):
+        _scopes.open[-1].append(path)
+    df.write.option("maxRecordsPerFile", 0).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Remove the tables that :func:`checkpointed` writes inside the block when it ends.
+
+    What the block has found goes through the function that it is given, which
+    writes a table that outlives the block; no other DataFrame made inside may
+    be read after it.
+    """
+    if not hasattr(_scopes, "open"):
+        _scopes.open = []
+    mine: list[str] = []
+    _scopes.open.append(mine)
+
+    def keep(df: DataFrame) -> DataFrame:
+        _scopes.open.remove(mine)
+        try:
+            return checkpointed(df)
+        finally:
+            _scopes.open.append(mine)
+
+    try:
+        yield keep
+    finally:
+        _scopes.open.remove(mine)
+        for name in mine:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -2,13 +2,12 @@
 
 import sys
 import time
+from pathlib import Path
 
 import duckdb
 
 import __spark_entry__ as entry
 
-TABLES = ["events", "nation"]
-
 
 def normal(value):
     if isinstance(value, float):
@@ -23,8 +22,8 @@ def sorted_rows(columns, rows):
 
 def duck(sf_dir):
     con = duckdb.connect()
-    for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
+    for table in sorted(Path(sf_dir).glob("*.parquet")):
+        con.execute(f"CREATE VIEW {table.stem} AS SELECT * FROM '{table}'")
     return con
 
 

@@ -11,7 +11,7 @@ def con(sf_dir):
     return duck(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(entry._own_sql()))
 def test_query(spark, con, sf_dir, name):
     assert compare(spark, con, sf_dir, name) is None
 
