@@ -38,9 +38,20 @@ def checkpointed(df: DataFrame) -> DataFrame:
     :func:`scratch` block ends, or else until the folder of the application is
     removed.
     """
+    return _written(df, _open()[-1] if _open() else None)
+
+
+def _open() -> list[list[str]]:
+    """The paths of each block that is open in this thread, the innermost last."""
+    if not hasattr(_scopes, "open"):
+        _scopes.open = []
+    return _scopes.open
+
+
+def _written(df: DataFrame, owner: list[str] | None) -> DataFrame:
     path = f"{_shared_dir(df.sparkSession)}/{uuid.uuid4().hex}"
-    if getattr(_scopes, "open", None):
-        _scopes.open[-1].append(path)
+    if owner is not None:
+        owner.append(path)
     df.write.option("maxRecordsPerFile", 0).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -53,22 +64,13 @@ def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
     writes a table that outlives the block; no other DataFrame made inside may
     be read after it.
     """
-    if not hasattr(_scopes, "open"):
-        _scopes.open = []
+    outer = _open()[-1] if _open() else None
     mine: list[str] = []
-    _scopes.open.append(mine)
-
-    def keep(df: DataFrame) -> DataFrame:
-        _scopes.open.remove(mine)
-        try:
-            return checkpointed(df)
-        finally:
-            _scopes.open.append(mine)
-
+    _open().append(mine)
     try:
-        yield keep
+        yield lambda df: _written(df, outer)
     finally:
-        _scopes.open.remove(mine)
+        _open().pop()
         for name in mine:
             path = spark._jvm.org.apache.hadoop.fs.Path(name)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
