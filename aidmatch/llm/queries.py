@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 from aidmatch.llm.common import documents
 from aidmatch.llm.crf_pii import find_personal_data
 from aidmatch.llm.cuckoo_dedup import exact_dedup
+from aidmatch.llm.merkle import MANIFEST_SQL, audited
 from aidmatch.llm.mincut_html import extract_text
+from aidmatch.llm.minhash import minhash_duplicates
 from aidmatch.llm.packing import pack_documents
 from aidmatch.llm.pareto_mix import MIX_SQL, mix
 from aidmatch.llm.parity_join import near_duplicates
@@ -62,6 +64,14 @@ def op10_crf_personal_data(spark, sf_dir):
     return find_personal_data(documents(spark, sf_dir))
 
 
+def op12_merkle_manifest(spark, sf_dir):
+    return audited(documents(spark, sf_dir))
+
+
+def op13_minhash_dedup(spark, sf_dir):
+    return minhash_duplicates(documents(spark, sf_dir))
+
+
 DEDUP_SQL = r"""
 SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = min(doc_id) OVER g AS kept, text_sha256
@@ -69,6 +79,9 @@ FROM (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+
 WINDOW g AS (PARTITION BY text_sha256)
 """
 
-QUERIES = {f.__name__: f for f in (op1_sum_of_squares_packing, op2_parity_sketch_join, op3_min_cut_html, op4_weak_toxicity, op5_stable_projections, op6_linked_secrets, op7_pareto_mix, op8_ring_shards, op9_cuckoo_dedup,
-    op10_crf_personal_data)}
-SQL = {"op7_pareto_mix": MIX_SQL, "op9_cuckoo_dedup": DEDUP_SQL}
+QUERIES = {f.__name__: f for f in (
+    op1_sum_of_squares_packing, op2_parity_sketch_join, op3_min_cut_html, op4_weak_toxicity, op5_stable_projections,
+    op6_linked_secrets, op7_pareto_mix, op8_ring_shards, op9_cuckoo_dedup, op10_crf_personal_data, op12_merkle_manifest,
+    op13_minhash_dedup,
+)}
+SQL = {"op7_pareto_mix": MIX_SQL, "op9_cuckoo_dedup": DEDUP_SQL, "op12_merkle_manifest": MANIFEST_SQL}

@@ -77,15 +77,15 @@ def word_hashes(text: str) -> np.ndarray:
     return np.concatenate(parts)
 
 
-def shingle_set(text: str) -> np.ndarray:
-    """Sorted distinct hashes of the five-word shingles; of a shorter text its whole sequence as one, of no words none."""
+def shingle_set(text: str, width: int = WORDS) -> np.ndarray:
+    """Sorted distinct hashes of the shingles of up to five words; of a shorter text its whole sequence as one, of no words none."""
     words = word_hashes(text)
     if not len(words):
         return words
-    if len(words) < WORDS:
+    if len(words) < width:
         return mix((words * _PLACE[:len(words)]).sum(keepdims=True) + _U(len(words)))
-    n = len(words) - WORDS + 1
+    n = len(words) - width + 1
     sums = words[:n] * _PLACE[0]
-    for k in range(1, WORDS):
+    for k in range(1, width):
         sums += words[k:k + n] * _PLACE[k]
     return np.unique(mix(sums))
