@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from aidmatch.llm.collocations import COLLOCATION_SQL, collocations
 from aidmatch.llm.common import documents
 from aidmatch.llm.crf_pii import find_personal_data
 from aidmatch.llm.cuckoo_dedup import exact_dedup
@@ -64,6 +65,10 @@ def op10_crf_personal_data(spark, sf_dir):
     return find_personal_data(documents(spark, sf_dir))
 
 
+def op11_setm_collocations(spark, sf_dir):
+    return collocations(documents(spark, sf_dir))
+
+
 def op12_merkle_manifest(spark, sf_dir):
     return audited(documents(spark, sf_dir))
 
@@ -81,7 +86,10 @@ WINDOW g AS (PARTITION BY text_sha256)
 
 QUERIES = {f.__name__: f for f in (
     op1_sum_of_squares_packing, op2_parity_sketch_join, op3_min_cut_html, op4_weak_toxicity, op5_stable_projections,
-    op6_linked_secrets, op7_pareto_mix, op8_ring_shards, op9_cuckoo_dedup, op10_crf_personal_data, op12_merkle_manifest,
-    op13_minhash_dedup,
+    op6_linked_secrets, op7_pareto_mix, op8_ring_shards, op9_cuckoo_dedup, op10_crf_personal_data, op11_setm_collocations,
+    op12_merkle_manifest, op13_minhash_dedup,
 )}
-SQL = {"op7_pareto_mix": MIX_SQL, "op9_cuckoo_dedup": DEDUP_SQL, "op12_merkle_manifest": MANIFEST_SQL}
+SQL = {
+    "op7_pareto_mix": MIX_SQL, "op9_cuckoo_dedup": DEDUP_SQL, "op11_setm_collocations": COLLOCATION_SQL,
+    "op12_merkle_manifest": MANIFEST_SQL,
+}
