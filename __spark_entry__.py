@@ -208,6 +208,32 @@ def greedy_match(spark, sf):
     )
 
 
+def _one_window(spark, sf):
+    """All records at once: groups as large as the tables."""
+    return T.records(spark, sf).withColumn("w", F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00'"))
+
+
+def _matched_ids(outcomes):
+    return L.matches(outcomes).select(
+        "categoria", F.col("help.id").alias("help_id"), F.col("volunteer.id").alias("volunteer_id"), _km()
+    )
+
+
+def greedy_match_one_window(spark, sf):
+    return _matched_ids(assign(_one_window(spark, sf)))
+
+
+def nearest_volunteer_one_window(spark, sf):
+    return nearest_volunteer(_one_window(spark, sf)).select("categoria", "help_id", "volunteer_id", _km())
+
+
+def pairs_within_radius_one_window(spark, sf):
+    """The pairs of groups as large as the tables, by cubes, the crowded ones in blocks."""
+    return reachable(_one_window(spark, sf), max_rows=0).select(
+        "categoria", "help_id", "eligible", F.round("nearest", 6).alias("nearest"), F.round("farthest", 6).alias("farthest"),
+    )
+
+
 def window_unmatched_help(spark, sf):
     left = L.leftovers(assign(_windowed(spark, sf)))
     return left.filter("is_help").select("w", "categoria", "id")
@@ -380,6 +406,9 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pairs_within_radius": pairs_within_radius,
         "nearest_volunteer": nearest_volunteer_query,
         "greedy_match": greedy_match,
+        "greedy_match_one_window": greedy_match_one_window,
+        "nearest_volunteer_one_window": nearest_volunteer_one_window,
+        "pairs_within_radius_one_window": pairs_within_radius_one_window,
         "window_unmatched_help": window_unmatched_help,
         "window_unmatched_volunteers": window_unmatched_volunteers,
         "unmatched_mixed": unmatched_mixed,
@@ -488,6 +517,8 @@ offers AS (
   FROM tried WHERE attempts >= 5 AND radio_disponible_km IS NOT NULL)
 """
 
+_GREEDY_ONE = _GREEDY.replace("time_bucket(INTERVAL '6 hours', ts) AS w", "TIMESTAMP '2024-01-01' AS w")
+
 _ROUTED = "WITH " + _RECORDS + """,
 routed AS (SELECT id,
   CASE WHEN arrival % 13 = 0 THEN NULL WHEN arrival % 11 = 0 AND is_help THEN 0 ELSE nivel_urgencia END AS u,
@@ -587,6 +618,12 @@ SELECT id, poblacion, round(6371e0 * 2 * atan2(sqrt(a), sqrt(1 - a)), 6) AS dist
   SELECT *, row_number() OVER (PARTITION BY w, categoria, help_id ORDER BY d, v_ts, volunteer_id) AS n FROM reach)
 WHERE n = 1""",
         "greedy_match": _GREEDY + "SELECT * FROM greedy",
+        "greedy_match_one_window": _GREEDY_ONE + "SELECT categoria, help_id, volunteer_id, distance FROM greedy",
+        "nearest_volunteer_one_window": _GREEDY_ONE + """SELECT categoria, help_id, volunteer_id, round(d, 6) AS distance FROM (
+  SELECT *, row_number() OVER (PARTITION BY categoria, help_id ORDER BY d, v_ts, volunteer_id) AS n FROM reach)
+WHERE n = 1""",
+        "pairs_within_radius_one_window": _GREEDY_ONE + """SELECT categoria, help_id, count(*) AS eligible,
+       round(min(d), 6) AS nearest, round(max(d), 6) AS farthest FROM reach GROUP BY categoria, help_id""",
         "window_unmatched_help": _GREEDY + "SELECT w, categoria, id FROM lost WHERE is_help",
         "window_unmatched_volunteers": _GREEDY + "SELECT w, categoria, id FROM lost WHERE NOT is_help",
         "unmatched_mixed": _GREEDY + "SELECT w, categoria, id, is_help, nivel_urgencia, radio_disponible_km FROM lost",

@@ -5,30 +5,22 @@ volunteers of one request: distance, arrival, id, record key. Both are total,
 so the result does not depend on how Spark lays out the rows.
 
 Groups up to a checked size are solved inside one row by a fold. Larger groups
-are never gathered: they are solved by rounds of proposals over the whole
-cluster (see :func:`_assign_large`). Both give the same answer.
+are never gathered: they fall into parts, and large parts are solved by rounds of
+proposals over the whole cluster. Both give the same answer.
 """
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aidmatch.functions.geo import haversine, may_reach, position
-from aidmatch.functions.grid import CELL, LEVELS, diagonal_km, edge_km, level_for, point_cells, within_circles
+from aidmatch.operators.crowds import BLOCK_REQUESTS, MAX_PART, match_crowds
 from aidmatch.operators.windows import GROUP, dedupe, group_sizes
 from aidmatch.schemas import PAYLOAD
-from aidmatch.workspace import checkpointed
+from aidmatch.workspace import checkpointed, checkpointed_in_order
 
 # A group is solved in one row when it has at most this many records and pairs.
 MAX_GROUP_ROWS = 8192
 MAX_GROUP_PAIRS = 1 << 20
-# Rounds over large groups: volunteers looked at per request, and requests that a block
-# takes from each of its parts. As many lists as each is long: then no list runs out
-# within its block, and hardly any request is displaced later.
-PREFERENCES = 256
-BLOCK_PARTS = 4
-BLOCK_REQUESTS = PREFERENCES // BLOCK_PARTS
 # Hot-group keys up to this count are broadcast (about 100 bytes each).
 BROADCAST_GROUPS = 50_000
 
@@ -100,7 +92,7 @@ def assign(
     df: DataFrame,
     max_rows: int = MAX_GROUP_ROWS,
     max_pairs: int = MAX_GROUP_PAIRS,
-    preferences: int = PREFERENCES,
+    max_part: int = MAX_PART,
     block_requests: int = BLOCK_REQUESTS,
     most_rows: int | None = None,
 ) -> DataFrame:
@@ -119,7 +111,7 @@ def assign(
     out = _assign_bounded(bounded)
     if large is None:
         return out
-    return out.unionByName(_assign_large(large, preferences, block_requests))
+    return out.unionByName(_assign_large(large, max_part, block_requests))
 
 
 # --- bounded groups: one row per group ------------------------------------------------
@@ -236,183 +228,33 @@ def _assign_bounded(df: DataFrame) -> DataFrame:
     )
 
 
-# --- large groups: rounds of proposals ------------------------------------------------
-
+# --- large groups ---------------------------------------------------------------------
 
-def _assign_large(df: DataFrame, preferences: int, block_requests: int) -> DataFrame:
-    """Deferred acceptance over the whole cluster, with no group in one task.
 
-    In a round the first open requests of every region look at their nearest
-    volunteers that are free or held by a request behind them in the order.
-    Those of one region settle among themselves who asks for whom (a fold over
-    a bounded block) and propose; a volunteer keeps the first request in the
-    order and frees the other. All volunteers rank requests alike, so the stable result is unique
-    and is the one that choosing in turn gives. A request with nobody left to
-    ask is out; the first open request always gets its wish, so rounds end.
-    """
+def _assign_large(df: DataFrame, max_part: int, block_requests: int) -> DataFrame:
+    """The same for groups that no task may hold, see :mod:`aidmatch.operators.crowds`."""
     recs = checkpointed(with_record_key(dedupe(df)))
     pos = position(F.col("lat"), F.col("lon"))
-    order = F.struct((-urgency(F.col("nivel_urgencia"))).alias("first"), "ts", "id", "rec_key")
-    asking = checkpointed(
-        recs.filter("is_help").select(
-            *GROUP, F.monotonically_increasing_id().alias("req"), order.alias("prio"), pos.alias("pos"), "rec_key"
-        )
+    prio = F.struct((-urgency(F.col("nivel_urgencia"))).alias("first"), "ts", "id", "rec_key")
+    # numbers that rise in the order of choosing and of arrival
+    asking = checkpointed_in_order(
+        recs.filter("is_help").select(*GROUP, prio.alias("prio"), pos.alias("pos"), "rec_key").sort(*GROUP, "prio"), "req"
     )
-    seats = checkpointed(
+    seats = checkpointed_in_order(
         recs.filter("NOT is_help AND radio_disponible_km >= 0").select(
-            *GROUP,
-            F.monotonically_increasing_id().alias("seat"),
-            F.struct("ts", "id", "rec_key").alias("arrival"),
-            pos.alias("pos"),
-            F.col("radio_disponible_km").cast("double").alias("radius"),
-            "rec_key",
-        )
+            *GROUP, pos.alias("pos"), F.col("radio_disponible_km").cast("double").alias("radius"), "rec_key", "ts", "id",
+        ).sort(*GROUP, "ts", "id", "rec_key"),
+        "seat",
     )
-    pairs = _rounds(asking, seats, preferences, block_requests)
+    pairs = match_crowds(asking.select(*GROUP, "req", "pos"), seats.select(*GROUP, "seat", "pos", "radius"), GROUP, max_part, block_requests)
     matched = checkpointed(
-        pairs.join(asking.select("req", "prio", "pos", F.col("rec_key").alias("help_key")), "req")
+        pairs.join(asking.select(*GROUP, "req", "prio", "pos", F.col("rec_key").alias("help_key")), "req")
         .join(seats.select("seat", F.col("pos").alias("v_pos"), F.col("rec_key").alias("volunteer_key")), "seat")
         .select(*GROUP, "prio", "help_key", "volunteer_key", haversine(F.col("v_pos"), F.col("pos")).alias("distance"))
     )
     return _outcomes(recs, matched)
 
 
-def _rounds(asking: DataFrame, seats: DataFrame, preferences: int, block_requests: int) -> DataFrame:
-    """``(w, categoria, req, seat)`` of every match."""
-    widest = seats.agg(F.max("radius")).first()[0]
-    nobody = seats.limit(0).select(*GROUP, F.lit(0).cast("bigint").alias("req"), "seat")
-    if widest is None:
-        return nobody
-    none_held = F.lit(None)
-    held = seats.withColumns({
-        "holder": none_held.cast("bigint"),
-        "holder_prio": none_held.cast(asking.schema["prio"].dataType),
-    })
-    settled = [nobody]
-    still = asking.select(*GROUP, "req", "prio", "pos")
-    while True:
-        asked = checkpointed(_next_in_order(still, widest, block_requests))
-        proposals = checkpointed(_proposals(asked, held, widest, preferences))
-        winners = proposals.filter("seat IS NOT NULL").groupBy("seat").agg(F.min(F.struct("prio", "req")).alias("win"))
-        after = checkpointed(
-            held.join(winners, "seat", "left").select(
-                *seats.columns,
-                F.coalesce("win.req", "holder").alias("holder"),
-                F.coalesce("win.prio", "holder_prio").alias("holder_prio"),
-                F.when(F.col("win").isNotNull(), F.col("holder")).alias("freed"),
-                F.col("win.req").alias("won"),
-            )
-        )
-        won = after.filter("won IS NOT NULL").select(F.col("won").alias("req"))
-        freed = after.filter("freed IS NOT NULL").select(F.col("freed").alias("req"))
-        # Asked and not to ask again: it won, or nobody is left for it.
-        done = asked.select("req").join(proposals.join(won, "req", "left_anti"), "req", "left_anti")
-        still = checkpointed(
-            still.join(done, "req", "left_anti").unionByName(asking.select(*still.columns).join(freed, "req", "left_semi"))
-        )
-        front = still.groupBy(*GROUP).agg(F.min("prio").alias("front"))
-        groups = front.count()
-        # Nobody can take a volunteer from a request that is ahead of all open ones.
-        keys = F.broadcast(front) if groups <= BROADCAST_GROUPS else front
-        judged = after.drop("freed", "won").join(keys, GROUP, "left")
-        final = F.col("front").isNull() | F.coalesce(F.col("holder_prio") < F.col("front"), F.lit(False))
-        settled.append(judged.filter(final & F.col("holder").isNotNull()).select(*GROUP, F.col("holder").alias("req"), "seat"))
-        held = judged.filter(~final).drop("front")
-        if groups == 0:
-            return reduce(DataFrame.unionByName, settled)
-
-
-def _next_in_order(still: DataFrame, widest: float, block_requests: int) -> DataFrame:
-    """The first open requests of each group, a bounded number from every cube.
-
-    Cubes are as wide as the widest radius, so requests of different cubes
-    seldom want the same volunteer and go on side by side. No cube runs ahead of
-    the others: those after the first request that had to wait wait too, or they
-    would be displaced later. A cube is ranked in parts, cut off before the
-    shuffle as well. Who asks when changes the number of rounds, not the result.
-    """
-    turn = Window.partitionBy(*GROUP, *CELL, "part").orderBy("prio")
-    first = (
-        point_cells(still, "pos", [_level_of(widest)])
-        .withColumn("part", F.pmod("req", F.lit(BLOCK_PARTS)))
-        .withColumn("turn", F.row_number().over(turn))
-        .filter(F.col("turn") <= block_requests + 1)
-    )
-    waits = first.filter(F.col("turn") > block_requests).groupBy(*GROUP).agg(F.min("prio").alias("wait"))
-    return (
-        first.join(waits, GROUP, "left")
-        .filter(F.col("wait").isNull() | (F.col("prio") < F.col("wait")))
-        .withColumn("block", F.struct(*CELL))
-        .drop("turn", "part", "wait", *CELL)
-    )
-
-
-def _level_of(radius: float) -> int:
-    """Finest level whose cubes are as wide as a circle of this radius."""
-    return max(k for k in LEVELS if k == 0 or edge_km(k) >= 2 * radius)
-
-
-def _reach(asked: DataFrame, seats: DataFrame, widest: float, preferences: int) -> DataFrame:
-    """Add ``reach``, a distance that surely holds enough free volunteers or else all of them.
-
-    A cube around the request with enough free volunteers whose radius spans the
-    whole cube gives its diagonal; without any, it is the widest radius.
-    """
-    levels = [k for k in LEVELS if diagonal_km(k) <= widest]
-    if not levels:
-        return asked.withColumn("reach", F.lit(widest))
-    diagonal = F.element_at(F.array(*[F.lit(diagonal_km(k)) for k in LEVELS]), F.col("level") + 1)
-    full = (
-        point_cells(seats.filter("holder IS NULL"), "pos", levels)
-        .filter(F.col("radius") >= diagonal)
-        .groupBy(*GROUP, *CELL)
-        .agg(F.count("*").alias("free"))
-        .filter(F.col("free") >= preferences)
-    )
-    spans = (
-        point_cells(asked.select(*GROUP, "req", "pos"), "pos", levels)
-        .join(full, [*GROUP, *CELL])
-        .groupBy("req")
-        .agg(F.min(diagonal).alias("span"))
-    )
-    return asked.join(spans, "req", "left").withColumn("reach", F.coalesce("span", F.lit(widest))).drop("span")
-
-
-def _nearest_open(asked: DataFrame, seats: DataFrame, widest: float, preferences: int) -> DataFrame:
-    """The first volunteers on each request's list: all those within ``reach``, up to a number.
-
-    What lies behind them comes in a later round, when these are taken.
-    """
-    circles = checkpointed(_reach(asked, seats, widest, preferences)).withColumnRenamed("pos", "c_pos")
-    points = seats.select(*GROUP, "seat", "arrival", F.col("pos").alias("p_pos"), "radius", "holder_prio")
-    # There are no more levels in use than the grid has.
-    levels = [row[0] for row in circles.select(level_for(F.col("reach"))).distinct().collect()]
-    if not levels:
-        levels = LEVELS[:1]
-    found = within_circles(points, circles, GROUP, levels).filter(
-        (F.col("distance") <= F.col("radius"))
-        & (F.col("holder_prio").isNull() | (F.col("holder_prio") > F.col("prio")))
-    )
-    nearest = Window.partitionBy("req").orderBy("distance", "arrival")
-    found = found.select("req", "seat", "distance", "arrival")
-    return found.withColumn("place", F.row_number().over(nearest)).filter(F.col("place") <= preferences)
-
-
-def _proposals(asked: DataFrame, seats: DataFrame, widest: float, preferences: int) -> DataFrame:
-    """One row per asked request that has anybody to ask; ``seat`` is null when its block took them all."""
-    return (
-        _nearest_open(asked, seats, widest, preferences)
-        .groupBy("req")
-        .agg(F.sort_array(F.collect_list(F.struct("place", "seat")))["seat"].alias("wish"))
-        .join(asked.select(*GROUP, "req", "prio", "block"), "req")
-        .groupBy(*GROUP, "block")
-        .agg(F.sort_array(F.collect_list(F.struct("prio", "req", "wish"))).alias("members"))
-        .select("members", pick_in_turn(F.col("members.wish"), F.lit(-1).cast("bigint")).alias("picks"))
-        .select(F.inline_outer(F.arrays_zip("members", "picks")))
-        .select("members.req", "members.prio", F.when(F.col("picks") >= 0, F.col("picks")).alias("seat"))
-    )
-
-
 def _outcomes(recs: DataFrame, matched: DataFrame) -> DataFrame:
     rec = F.struct(*RECORD)
     helps = recs.filter("is_help").select(

@@ -8,6 +8,7 @@ from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 @lru_cache
@@ -41,6 +42,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return _written(df, _open()[-1] if _open() else None)
 
 
+def checkpointed_in_order(df: DataFrame, name: str) -> DataFrame:
+    """Write a sorted ``df`` and add ``name``, a long that rises in its order and is the same for every reader.
+
+    The tasks of a sort write one file each, numbered in the order of the ranges.
+    """
+    part = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("long")
+    return checkpointed(df).select("*", (part * (1 << 36) + F.col("_metadata.row_index")).alias(name))
+
+
 def _open() -> list[list[str]]:
     """The paths of each block that is open in this thread, the innermost last."""
     if not hasattr(_scopes, "open"):

@@ -4,12 +4,13 @@ from datetime import timedelta
 import pytest
 
 from aidmatch.operators.assignment import assign
+from aidmatch.operators.parts import connected_parts
 from tests.rows import collected, frame, greedy, need, offer
 
-# Every group is called large; in the second, lists and blocks are too short for
-# their group, so that requests are displaced and ask again.
-ROUNDS = {"max_rows": 0}
-SHORT = {"max_rows": 0, "preferences": 3, "block_requests": 4}
+# Every group is called large: its parts are settled in one step, or, where they may hold
+# next to nothing, in many short rounds.
+PARTS = {"max_rows": 0}
+ROUNDS = {"max_rows": 0, "max_part": 20, "block_requests": 3}
 
 
 def solve(spark, rows, **bounds):
@@ -59,9 +60,10 @@ def test_case(spark, rows):
     assert solve(spark, rows) == greedy(rows)
 
 
-def test_cases_as_large_groups(spark):
+@pytest.mark.parametrize("bounds", [PARTS, {"max_rows": 0, "max_part": 1}], ids=["parts", "rounds"])
+def test_cases_as_large_groups(spark, bounds):
     rows = apart(CASES.values())
-    assert solve(spark, rows, **ROUNDS) == greedy(rows)
+    assert solve(spark, rows, **bounds) == greedy(rows)
 
 
 def crowd(rng, helps, offers, span, groups=2):
@@ -84,14 +86,31 @@ def test_random_groups(spark):
     assert solve(spark, rows) == greedy(rows)
 
 
-def test_random_groups_as_large_groups(spark):
+@pytest.mark.parametrize("bounds", [PARTS, ROUNDS], ids=["parts", "rounds"])
+def test_random_groups_as_large_groups(spark, bounds):
     rows = crowds()
-    assert solve(spark, rows, **ROUNDS) == greedy(rows)
-
-
-def test_short_lists(spark):
-    rows = apart([crowd(random.Random(5), 40, 40, 2000), crowd(random.Random(6), 20, 10, 1)])
-    assert solve(spark, rows, **SHORT) == greedy(rows)
+    assert solve(spark, rows, **bounds) == greedy(rows)
+
+
+def test_parts_do_not_interact(spark):
+    """Two towns far apart and one between them whose volunteers reach both."""
+    rng = random.Random(9)
+    rows = crowd(rng, 40, 40, 800, groups=1)
+    far = [r | {"lat": r["lat"] + 3.0, "id": "f" + r["id"]} for r in crowd(rng, 40, 40, 800, groups=1)]
+    assert solve(spark, rows + far, **PARTS) == greedy(rows + far)
+    between = [offer(f"m{i}", lat=40.8, lon=-0.5, radius=250, at=i, cat="Limpieza") for i in range(10)]
+    assert solve(spark, rows + far + between, **ROUNDS) == greedy(rows + far + between)
+
+
+def test_connected_parts(spark):
+    rng = random.Random(4)
+    links = [(i, i + 1) for i in range(0, 60)] + [(100 + rng.randrange(50), 100 + rng.randrange(50)) for _ in range(30)] + [(900, 900)]
+    first = {x: x for link in links for x in link}
+    for _ in first:
+        for a, b in links:
+            first[a] = first[b] = min(first[a], first[b])
+    found = connected_parts(spark.createDataFrame(links, "a bigint, b bigint"))
+    assert {r.node: r.part for r in found.collect()} == first
 
 
 def test_large_and_bounded_groups_together(spark):
