@@ -1,6 +1,6 @@
 """What happens to matches and to records left over: attempts, routing, table rows."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aidmatch.operators.assignment import RECORD
@@ -69,8 +69,13 @@ def _timestamp(df: DataFrame, name: str):
     return F.try_to_timestamp(F.col(name)) if as_text else F.col(name)
 
 
-def matched_pairs(outcomes: DataFrame, random_ids: bool = False) -> DataFrame:
-    """Rows of the ``matched_pairs`` table.
+def day() -> Column:
+    """The date of the window, by which result tables are laid out."""
+    return F.to_date("w").alias("day")
+
+
+def matched_pairs(outcomes: DataFrame, random_ids: bool = False, with_day: bool = False) -> DataFrame:
+    """Rows of the ``matched_pairs`` table, on demand with the ``day`` of their window.
 
     The id is a digest of window and both records, so that writing a batch
     again gives the same ids; ``random_ids`` asks for fresh ones.
@@ -79,10 +84,10 @@ def matched_pairs(outcomes: DataFrame, random_ids: bool = False) -> DataFrame:
         "w", "distance", "help.*", *[F.col(f"volunteer.{c}").alias(f"v_{c}") for c in RECORD]
     )
     key = F.sha2(F.concat_ws("|", F.col("w").cast("string"), "rec_key", "v_rec_key"), 256)
-    return flat_match(flat, F.expr("uuid()") if random_ids else key)
+    return flat_match(flat, F.expr("uuid()") if random_ids else key, [day()] if with_day else [])
 
 
-def flat_match(flat: DataFrame, match_id) -> DataFrame:
+def flat_match(flat: DataFrame, match_id, more: list = ()) -> DataFrame:
     return flat.select(
         match_id.alias("match_id"),
         "categoria",
@@ -99,10 +104,11 @@ def flat_match(flat: DataFrame, match_id) -> DataFrame:
         F.col("v_poblacion").alias("volunteer_poblacion"),
         F.col("v_radio_disponible_km").cast("long").alias("volunteer_radio_disponible_km"),
         _timestamp(flat, "v_created_at").alias("volunteer_created_at"),
+        *more,
     )
 
 
-def _dead(left: DataFrame, keep, fields, columns) -> DataFrame:
+def _dead(left: DataFrame, keep, fields, columns, more: list) -> DataFrame:
     row = {c: F.col(c) for c in fields} | {
         "created_at": _timestamp(left, "created_at"),
         "attempts": F.col("attempts").cast("long"),
@@ -111,20 +117,18 @@ def _dead(left: DataFrame, keep, fields, columns) -> DataFrame:
     for c in ("nivel_urgencia", "radio_disponible_km"):
         if c in fields:
             row[c] = F.col(c).cast("long")
-    return left.filter(keep).select(*[row[c].alias(c) for c in columns])
+    return left.filter(keep).select(*[row[c].alias(c) for c in columns], *more)
 
 
-def unmatched_requests(left: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
+def unmatched_requests(left: DataFrame, max_attempts: int = MAX_ATTEMPTS, with_day: bool = False) -> DataFrame:
     """Dead-letter rows of requests; ``left`` has its attempt added."""
-    return _dead(
-        left, is_terminal(max_attempts) & terminal_help(), HELP_FIELDS, UNMATCHED_REQUESTS.fieldNames()
-    )
+    keep = is_terminal(max_attempts) & terminal_help()
+    return _dead(left, keep, HELP_FIELDS, UNMATCHED_REQUESTS.fieldNames(), [day()] if with_day else [])
 
 
-def unmatched_volunteers(left: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
-    return _dead(
-        left, is_terminal(max_attempts) & terminal_volunteer(), VOLUNTEER_FIELDS, UNMATCHED_VOLUNTEERS.fieldNames()
-    )
+def unmatched_volunteers(left: DataFrame, max_attempts: int = MAX_ATTEMPTS, with_day: bool = False) -> DataFrame:
+    keep = is_terminal(max_attempts) & terminal_volunteer()
+    return _dead(left, keep, VOLUNTEER_FIELDS, UNMATCHED_VOLUNTEERS.fieldNames(), [day()] if with_day else [])
 
 
 def outcome_counts(df: DataFrame, outcomes: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:

@@ -42,6 +42,14 @@ class Attempt:
     def volunteers(self) -> DataFrame:
         return unmatched_volunteers(self.left, self.max_attempts)
 
+    def tables(self) -> dict[str, DataFrame]:
+        """The three result tables, each row with the day of its window."""
+        return {
+            "matched_pairs": matched_pairs(self.outcomes, with_day=True),
+            "unmatched_requests": unmatched_requests(self.left, self.max_attempts, with_day=True),
+            "unmatched_volunteers": unmatched_volunteers(self.left, self.max_attempts, with_day=True),
+        }
+
     @property
     def retries(self) -> DataFrame:
         return retries(self.left, self.max_attempts)

@@ -94,3 +94,11 @@ MATCH_EVENT = T.StructType([
     T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.TimestampType) else f.dataType)
     for f in MATCHED_PAIRS.fields
 ])
+
+# The result tables by name, as schemas in text.
+RESULT_TABLES = {
+    name: ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields)
+    for name, fields in (
+        ("matched_pairs", MATCHED_PAIRS), ("unmatched_requests", UNMATCHED_REQUESTS), ("unmatched_volunteers", UNMATCHED_VOLUNTEERS),
+    )
+} | {"outcome_counts": "outcome string, total bigint"}

@@ -1,19 +1,9 @@
-"""Result tables, match events and returned records on shared storage."""
+"""Match events and returned records on shared storage."""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def append_table(df: DataFrame, path: str) -> None:
-    """Append rows, creating the table on first use."""
-    df.write.mode("append").parquet(path)
-
-
-def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """Write one micro-batch of a table under its own folder; writing it again replaces it."""
-    df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-
 def publish(df: DataFrame, batch_id: int, fmt: str = "parquet", path: str = None, **options) -> None:
     """Send ``value`` rows to a topic, or (with ``ts``) to a folder that a stream reads.
 

@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from aidmatch.operators.leftovers import outcome_counts
+from aidmatch.operators.assignment import with_record_key
+from aidmatch.operators.leftovers import day, outcome_counts
 from aidmatch.plans.attempt import Attempt, attempt
 from aidmatch.plans.replay import micros, next_window, replay
-from aidmatch.schemas import MATCH_EVENT, MAX_ATTEMPTS, PAYLOAD, WINDOW_LENGTH
+from aidmatch.schemas import MATCH_EVENT, MAX_ATTEMPTS, PAYLOAD, RESULT_TABLES, WINDOW_LENGTH
 from aidmatch.sources.messages import encode, encode_record, parse, quarantine, read_messages, sound
-from aidmatch.sources.sinks import publish, write_batch
+from aidmatch.sources.results import ResultTables
+from aidmatch.sources.sinks import publish
 from aidmatch.streaming.notifications import payloads
 
 
@@ -83,7 +85,7 @@ def process_batch(batch: DataFrame, batch_id: int, cfg: StreamConfig) -> None:
             _replay_batch(batch, batch_id, cfg)
         elif not batch.isEmpty():
             done = attempt(batch, cfg.max_attempts, **cfg.bounds).saved()
-            _write(done, batch_id, cfg)
+            _write(done, batch, batch_id, cfg)
             again = done.retries.withColumn("ts", F.current_timestamp())
             for keep, sink in ((F.col("is_help"), cfg.help_retry), (~F.col("is_help"), cfg.volunteer_retry)):
                 publish(encode_record(again.filter(keep), "ts"), batch_id, **sink)
@@ -109,23 +111,57 @@ def _replay_batch(batch: DataFrame, batch_id: int, cfg: StreamConfig) -> None:
         done = attempt(both, cfg.max_attempts, **cfg.bounds).saved()  # one window passes nothing on within the batch
     else:
         done = replay(both, cfg.window, cfg.max_attempts, until=until, **cfg.bounds).saved()
-    _write(done, batch_id, cfg)
+    _write(done, batch, batch_id, cfg)
     last = done.retries.filter(micros("w") == until)
     next_window(last, cfg.window).select(*batch.columns).write.mode("overwrite").parquet(new)
 
 
-def _write(done: Attempt, batch_id: int, cfg: StreamConfig) -> None:
+#: Which records went into a window that closed, by a key of the whole record.
+CLOSED = "w timestamp, rec_key string"
+
+
+def _write(done: Attempt, batch: DataFrame, batch_id: int, cfg: StreamConfig) -> None:
     matched = done.matched
-    write_batch(matched, f"{cfg.tables}/matched_pairs", batch_id)
-    write_batch(done.requests, f"{cfg.tables}/unmatched_requests", batch_id)
-    write_batch(done.volunteers, f"{cfg.tables}/unmatched_volunteers", batch_id)
     sides = [
         done.outcomes.filter(f"{side} IS NOT NULL").select("w", F.lit(side == "help").alias("is_help"), f"{side}.*")
         for side in ("help", "volunteer")
     ]
-    counts = outcome_counts(sides[0].unionByName(sides[1]), done.outcomes, cfg.max_attempts)
-    write_batch(counts, f"{cfg.tables}/outcome_counts", batch_id)
+    records = sides[0].unionByName(sides[1])
+    counts = outcome_counts(records, done.outcomes, cfg.max_attempts)
+    # a batch has windows of one day or a few; its counts go with the last
+    last = done.outcomes.agg(F.max(day()).alias("day"))
     publish(encode(matched).withColumn("ts", F.current_timestamp()), batch_id, **cfg.events_sink)
+    ResultTables(matched.sparkSession, cfg.tables).write(
+        batch_id, **done.tables(), outcome_counts=counts.crossJoin(F.broadcast(last)),
+        closed=with_record_key(batch).select("w", "rec_key", day()),
+    )
+
+
+def result_table(spark: SparkSession, cfg: StreamConfig, name: str) -> DataFrame:
+    """The committed rows of a result table of the job, with the ``day`` of their window."""
+    return ResultTables(spark, cfg.tables).read(name, RESULT_TABLES[name])
+
+
+def run_arrivals(spark: SparkSession, cfg: StreamConfig, **trigger) -> StreamingQuery:
+    """Keep every usable record with its window, so that late ones can be told, see :func:`late_records`."""
+    sides = [sound(_parsed(spark, cfg, options)) for options in (cfg.help_source, cfg.volunteer_source)]
+    placed = sides[0].unionByName(sides[1]).withColumn("w", F.window("ts", cfg.window)["start"])
+    rows = with_record_key(placed).select("w", "rec_key", "is_help", *PAYLOAD, "ts")
+    return _to_table(rows, f"{cfg.tables}/arrivals", f"{cfg.checkpoint}/arrivals", trigger)
+
+
+def late_records(spark: SparkSession, cfg: StreamConfig) -> DataFrame:
+    """Records that were read but came after their window had closed.
+
+    A window has closed when a record of it or of a later one went through the
+    job. Of what arrived, the records of closed windows are among the outcomes or
+    here, all others still wait for their window.
+    """
+    closed = ResultTables(spark, cfg.tables).read("closed", CLOSED).drop("day")
+    arrived = spark.read.parquet(f"{cfg.tables}/arrivals")
+    last = F.broadcast(closed.agg(F.max("w").alias("last")))
+    over = arrived.join(last, F.col("w") <= F.col("last")).drop("last")
+    return over.join(closed, ["w", "rec_key"], "left_anti")
 
 
 def run_stream(spark: SparkSession, cfg: StreamConfig, **trigger) -> StreamingQuery:

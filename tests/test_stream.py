@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from aidmatch.plans.replay import replay
 from aidmatch.sources.messages import read_messages
-from aidmatch.streaming.job import StreamConfig, run_notifications, run_quarantine, run_stream
+from aidmatch.streaming.job import StreamConfig, late_records, result_table, run_arrivals, run_notifications, run_quarantine, run_stream
 from tests.rows import START, frame, need, offer
 
 HELP = ["id", "nombre", "ubicacion", "poblacion", "categoria", "descripcion", "nivel_urgencia", "telefono", "attempts"]
@@ -63,7 +63,7 @@ def test_stream_equals_batch_replay(spark, tmp_path):
     done = replay(frame(spark, rows), "60 seconds").saved()
 
     def read(name):
-        return spark.read.parquet(f"{tmp_path}/tables/{name}").filter("categoria <> 'Maquinaria'")
+        return result_table(spark, cfg, name).filter("categoria <> 'Maquinaria'")
 
     def rows_of(df, *columns):
         return sorted(tuple(r) for r in df.select(*columns).collect())
@@ -124,7 +124,7 @@ def test_backlog_or_lagging_stream_loses_nothing(spark, tmp_path, lagging):
         columns = ("help_ubicacion", "volunteer_ubicacion", F.round("distance", 6))
         return sorted(tuple(r) for r in df.filter("categoria <> 'Maquinaria'").select(*columns).collect())
 
-    read = lambda name: spark.read.parquet(f"{tmp_path}/tables/{name}")
+    read = lambda name: result_table(spark, cfg, name)
     assert dropped == 0
     assert pairs(read("matched_pairs")) == pairs(done.matched)
     assert ids(read("unmatched_requests")) == ids(done.requests)
@@ -148,8 +148,12 @@ def test_late_record_is_dropped_and_window_fires_once(spark, tmp_path, scope):
     query.processAllAvailable()
     dropped = sum(int(op.numRowsDroppedByWatermark) for p in query.recentProgress for op in p.stateOperators)
     query.stop()
-    matched = spark.read.parquet(f"{tmp_path}/tables/matched_pairs").collect()
+    matched = result_table(spark, cfg, "matched_pairs").collect()
     assert [r["help_created_at"] for r in matched] == [START]
     assert dropped == 1
-    lost = spark.read.parquet(f"{tmp_path}/tables/outcome_counts").groupBy("outcome").agg(F.sum("total").alias("n"))
+    lost = result_table(spark, cfg, "outcome_counts").groupBy("outcome").agg(F.sum("total").alias("n"))
     assert {r["outcome"]: r["n"] for r in lost.collect()} == {"matched": 1}
+    # what the job lost from sight is listed, and nothing else
+    run_arrivals(spark, cfg, availableNow=True).awaitTermination()
+    assert [(r["id"], r["w"]) for r in late_records(spark, cfg).collect()] == [("late", START)]
+    assert spark.read.parquet(f"{tmp_path}/tables/arrivals").count() == 5
