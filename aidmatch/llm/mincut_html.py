@@ -11,10 +11,10 @@ an advert between two paragraphs may still stand alone.
 
 from __future__ import annotations
 
+import html as markup
 import re
 from collections import Counter, deque
 from collections.abc import Iterator
-from html.parser import HTMLParser
 from typing import NamedTuple
 
 import numpy as np
@@ -87,7 +87,83 @@ _TAG_BIT = {t: 1 << i for i, t in enumerate(_TAGS)}
 _WORD_BIT = {w: 1 << i for i, words in enumerate(_WORDS.values()) for w in words}
 
 
-class _Reader(HTMLParser):
+#: One attribute; groups never give back what they have taken, so a page is read in time linear in its length.
+_ATTRIBUTE = re.compile(r"""[\s/]*+([^\s/>=][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]*+)))?+""")
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*+")
+_REST = re.compile(r"[\s/]*+")
+_COMMENT_END = re.compile(r"--!?>")
+#: Elements whose content is text up to their end tag; in the first two even references are plain text.
+_PLAIN = ("script", "style", "title", "textarea", "noembed", "noframes", "iframe", "xmp")
+
+
+def read_markup(page: str, to) -> None:
+    """Give the tags and the text of a page, with references decoded, to ``to``'s handlers.
+
+    What is still open at the end of the page, a comment or a tag, ends there with nothing.
+    """
+    at, size, raw, gone = 0, len(page), None, set()
+    while at < size:
+        if raw:  # up to the end tag, if there is one
+            end = re.compile(rf"</{raw}(?=[\s/>])", re.I).search(page, at)
+            text = page[at:end.start() if end else size]
+            to.handle_data(text if raw in _PLAIN[:2] else markup.unescape(text))
+            at, raw = end.start() if end else size, None
+            continue
+        low = page.find("<", at)
+        if low < 0:
+            to.handle_data(markup.unescape(page[at:]))
+            return
+        name = _NAME.match(page, low + 2 if page.startswith("/", low + 1) else low + 1)
+        other = page[low + 1:low + 2] in ("!", "?") or page.startswith("</", low) and page[low + 2:low + 3] not in ("", ">")
+        if low > at:
+            to.handle_data(markup.unescape(page[at:low]))
+        if name is None and not other:
+            to.handle_data("<")  # only a sign, unless nothing stands in it
+            at = low + 1
+            continue
+        if name is None:
+            if page.startswith("<!--", low):
+                # "<!-->" and "<!--->" are whole comments
+                short = next((s for s in ("<!-->", "<!--->") if page.startswith(s, low)), None)
+                end = None if short else _COMMENT_END.search(page, low + 4)
+                at = low + len(short) if short else end.end() if end else size
+            else:
+                end = page.find(">", low)
+                at = end + 1 if end >= 0 else size
+            continue
+        tag, closing, attributes = name.group().lower(), page[low + 1] == "/", {}
+        at = name.end()
+        while True:
+            found = _ATTRIBUTE.match(page, at)
+            if found is None:
+                break
+            value = next((v for v in found.groups()[1:] if v is not None), None)
+            attributes.setdefault(found.group(1).lower(), value and markup.unescape(value))
+            at = found.end()
+        rest = _REST.match(page, at)
+        at = rest.end()
+        if at >= size:
+            return
+        # a stray sign such as "=" before the end of the tag
+        end = at if page[at] == ">" else page.find(">", at)
+        if end < 0:
+            return
+        itself = page[end - 1] == "/" and not closing
+        at = end + 1
+        if closing:
+            to.handle_endtag(tag)
+        elif itself:
+            to.handle_startendtag(tag, attributes)
+        else:
+            to.handle_starttag(tag, attributes)
+            raw = tag if tag in _PLAIN and tag not in gone else None
+            if raw and not re.compile(rf"</{raw}(?=[\s/>])", re.I).search(page, at):
+                gone.add(tag)  # searched for once: no later one has an end tag either
+                if tag not in _PLAIN[:2]:
+                    raw = None  # HTML would end the page here
+
+
+class _Reader:
     """Reads a page into blocks; work per tag doesn't grow with the depth of the page.
 
     ``unclosed`` are the numbers of elements of ``_OPEN_ENDED`` that lack their
@@ -95,7 +171,6 @@ class _Reader(HTMLParser):
     """
 
     def __init__(self, unclosed: frozenset[int] = frozenset()):
-        super().__init__(convert_charrefs=True)
         self.unclosed = unclosed
         self.lacking: set[int] = set()  # found without an end tag
         self.ending: list[Element] = []  # open elements of ``unclosed``
@@ -171,11 +246,12 @@ class _Reader(HTMLParser):
                 if at not in closes:
                     break
                 self.pop_to(at)
-        attrs = dict(attrs)
         self.count += 1
         up, words = self.holders[-1], 0
-        for w in _SPLIT.split(f"{attrs.get('class') or ''} {attrs.get('id') or ''} {attrs.get('role') or ''}".lower()):
-            words |= _WORD_BIT.get(w, 0)
+        # names of the whole page say nothing about a block
+        if tag not in ("html", "body"):
+            for w in _SPLIT.split(f"{attrs.get('class') or ''} {attrs.get('id') or ''} {attrs.get('role') or ''}".lower()):
+                words |= _WORD_BIT.get(w, 0)
         here = Element(
             tag, self.count, up.number, up.depth + 1, up.tags | _TAG_BIT.get(tag, 0), up.words | words, attrs.get("data-y") or up.label
         )
@@ -218,14 +294,12 @@ class _Reader(HTMLParser):
 def blocks_of(html: str) -> list[Block]:
     """The page's text blocks; pages with hidden elements that lack their end tag are read a second time."""
     reader = _Reader()
-    reader.feed(html)
-    reader.close()
+    read_markup(html, reader)
     blocks = reader.done()
     if not reader.lacking:
         return blocks
     reader = _Reader(frozenset(reader.lacking))
-    reader.feed(html)
-    reader.close()
+    read_markup(html, reader)
     return reader.done()
 
 

@@ -132,7 +132,8 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     of another length than most rows, or hold null or non-finite components take
     no part; a query never finds its own id; ties go to smaller ids; fewer rows
     than ``k`` give fewer results; empty tables give none. Of equal vectors only
-    the ``k + 1`` smallest ids can be found, so no more are searched.
+    the ``k + 1`` smallest ids can be found, so no more are searched. Rows that
+    repeat count once, and so do queries.
     """
     spark = rows.sparkSession
 
@@ -144,7 +145,8 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
         ).filter(~F.exists("vector", odd) & F.exists("vector", lambda x: x != 0))
 
     copies = Window.partitionBy("vector").orderBy("vec_id")
-    single = usable(rows).withColumn("nth", F.row_number().over(copies)).filter(F.col("nth") <= k + 1).drop("nth")
+    # a row that repeats would hide other ids with its vector
+    single = usable(rows).distinct().withColumn("nth", F.row_number().over(copies)).filter(F.col("nth") <= k + 1).drop("nth")
     clean = checkpointed(single.withColumn("norm", F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)))
     sizes = clean.groupBy(F.size("vector").alias("size")).agg(F.count("*").alias("n"), F.max("norm").alias("top"))
     most = sizes.orderBy(F.desc("n"), "size").first()
@@ -169,7 +171,7 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     ).withColumn("block", F.pmod(F.xxhash64("vec_id"), "blocks"))
     placed = checkpointed(placed)
     blocks = placed.select("cell", "blocks").distinct()
-    asked = checkpointed(located(usable(queries).filter(F.size("vector") == dimension), True).withColumnRenamed("vec_id", "query_id"))
+    asked = checkpointed(located(usable(queries).distinct().filter(F.size("vector") == dimension), True).withColumnRenamed("vec_id", "query_id"))
 
     def search(to: DataFrame) -> DataFrame:
         """``to`` holds query_id, vector, cell and worst."""
