@@ -21,10 +21,12 @@ from aidmatch.operators.windows import dedupe, group_sizes, tumbling, window_cou
 from aidmatch.plans import dashboard  # noqa: E402
 from aidmatch.plans.attempt import attempt  # noqa: E402
 from aidmatch.plans.replay import replay  # noqa: E402
-from aidmatch.schemas import MATCH_EVENT, MESSAGE  # noqa: E402
+from aidmatch.schemas import MATCH_EVENT, MESSAGE, RESULT_TABLES  # noqa: E402
 from aidmatch.sources import messages as M  # noqa: E402
 from aidmatch.sources import tables as T  # noqa: E402
-from aidmatch.streaming.notifications import field_values  # noqa: E402
+from aidmatch.sources.results import ResultTables  # noqa: E402
+from aidmatch.streaming.notifications import field_values, payloads  # noqa: E402
+from aidmatch.workspace import scratch_path  # noqa: E402
 
 WINDOW = "6 hours"
 
@@ -140,6 +142,25 @@ def build_volunteers(spark, sf):
     return V.build_volunteers(V.accepted(_faulty(spark, sf, False), V.volunteer_rules()))
 
 
+def _new(df):
+    """Whether the parts that are made up are there and tell records apart."""
+    return df.withColumns({
+        "new_id": F.length("id") == 36, "stamped": F.col("created_at").isNotNull(), "at": parse_coordinates(F.col("ubicacion")),
+    })
+
+
+def built_requests(spark, sf):
+    return _new(build_requests(spark, sf)).select(
+        "nombre", "poblacion", "categoria", "descripcion", "nivel_urgencia", "telefono", "at.lat", "at.lon", "new_id", "stamped"
+    )
+
+
+def built_volunteers(spark, sf):
+    return _new(build_volunteers(spark, sf)).select(
+        "nombre", "poblacion", "categoria", "radio_disponible_km", "at.lat", "at.lon", "new_id", "stamped"
+    )
+
+
 def route_retry(spark, sf):
     return _routed(spark, sf).select("id", L.live_help().alias("to_help"), L.live_volunteer().alias("to_volunteers"))
 
@@ -271,6 +292,47 @@ def match_notifications(spark, sf):
     return field_values(_attempt(spark, sf).matched).drop("match_id", "footer_text")
 
 
+def match_ids(spark, sf):
+    """Ids of matches tell them apart and are the same when a batch runs again."""
+    first, again = (_attempt(spark, sf).matched.groupBy("match_id").agg(F.count("*").alias(n)) for n in ("first", "again"))
+    both = first.join(again, "match_id", "full")
+    return both.agg(
+        F.sum("first").alias("matches"), F.count("first").alias("ids"),
+        F.count_if(F.col("first") == F.col("again")).alias("same_again"),
+    )
+
+
+_PAYLOAD = """embeds array<struct<title:string,color:int,fields:array<struct<name:string,value:string,inline:boolean>>,
+  timestamp:string,footer:struct<text:string>>>"""
+
+
+def notification_payloads(spark, sf):
+    """Whole payloads, read back from their JSON; ids and times only by their form."""
+    embed = payloads(_attempt(spark, sf).matched).select(F.from_json("value", _PAYLOAD)["embeds"].alias("embeds")).select(
+        F.size("embeds").alias("embeds"), F.col("embeds")[0].alias("e")
+    )
+    return embed.select(
+        "embeds", "e.title", "e.color",
+        F.array_join("e.fields.name", "|").alias("names"), F.array_join("e.fields.value", "|").alias("texts"),
+        F.array_join(F.transform("e.fields.inline", lambda x: x.cast("string")), "|").alias("inline"),
+        F.col("e.footer.text").rlike("^Match ID: [0-9a-f]{64}$").alias("with_id"), F.col("e.timestamp").isNotNull().alias("stamped"),
+    )
+
+
+def dated_matches_by_category(spark, sf):
+    """A summary of some days of the committed tables, which three batches have written and a compaction has joined."""
+    done, results = _attempt(spark, sf).saved(), ResultTables(spark, scratch_path(spark))
+    for batch in range(3):
+        results.write(batch, **{
+            name: df.filter(F.pmod(F.datediff("day", F.lit("2024-01-01")), F.lit(3)) == batch).withColumns(
+                {f.name: F.col(f.name).cast("timestamp") for f in df.schema if f.dataType.typeName() == "timestamp_ntz"}
+            ) for name, df in done.tables().items()
+        })
+    results.compact({name: RESULT_TABLES[name] for name in done.tables()}, upto=1)
+    matched = results.read("matched_pairs", RESULT_TABLES["matched_pairs"]).filter("day BETWEEN '2024-01-05' AND '2024-01-12'")
+    return dashboard.matches_by_category(matched)
+
+
 def unmatched_requests(spark, sf):
     return _attempt(spark, sf).requests.drop("insertion_stamp")
 
@@ -393,6 +455,8 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "validate_volunteers": validate_volunteers,
         "build_requests": build_requests,
         "build_volunteers": build_volunteers,
+        "built_requests": built_requests,
+        "built_volunteers": built_volunteers,
         "route_retry": route_retry,
         "route_terminal": route_terminal,
         "add_attempts": add_attempts,
@@ -416,6 +480,9 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "match_events": match_events,
         "decode_envelope": decode_envelope,
         "match_notifications": match_notifications,
+        "match_ids": match_ids,
+        "notification_payloads": notification_payloads,
+        "dated_matches_by_category": dated_matches_by_category,
         "unmatched_requests": unmatched_requests,
         "unmatched_volunteers": unmatched_volunteers,
         "dead_letter": dead_letter,
@@ -587,6 +654,21 @@ broken AS (SELECT id, concat_ws(',',
 SELECT id, errors FROM broken WHERE errors <> ''""",
         "validate_volunteers": f"""WITH {_FAULTS} SELECT {_columns(VOLUNTEER_COLUMNS)} FROM located
 WHERE NOT is_help AND {_GOOD_COMMON} AND radio_disponible_km BETWEEN 1 AND 100""",
+        "built_requests": f"""WITH {_FAULTS} SELECT nombre, poblacion, categoria, descripcion, nivel_urgencia, telefono,
+       round(lat, 6) AS lat, round(lon, 6) AS lon, true AS new_id, true AS stamped FROM located WHERE is_help AND {_GOOD_REQUEST}""",
+        "built_volunteers": f"""WITH {_FAULTS} SELECT nombre, poblacion, categoria, radio_disponible_km,
+       round(lat, 6) AS lat, round(lon, 6) AS lon, true AS new_id, true AS stamped FROM located
+WHERE NOT is_help AND {_GOOD_COMMON} AND radio_disponible_km BETWEEN 1 AND 100""",
+        "match_ids": _GREEDY + "SELECT count(*) AS matches, count(*) AS ids, count(*) AS same_again FROM greedy",
+        "notification_payloads": _GREEDY + """SELECT 1 AS embeds, '¡Nuevo Match Realizado! 🤝' AS title, 3066993 AS color,
+       'Categoría|Distancia|Nivel de Urgencia|Persona que necesita ayuda|Voluntario' AS names,
+       concat_ws('|', categoria, printf('%.2f km', distance), '⚠️ ' || urgencia,
+                 '**Nombre:** ' || help_nombre || chr(10) || '**Población:** ' || help_poblacion,
+                 '**Nombre:** ' || volunteer_nombre || chr(10) || '**Población:** ' || volunteer_poblacion) AS texts,
+       'true|true|true|false|false' AS inline, true AS with_id, true AS stamped
+FROM matched""",
+        "dated_matches_by_category": _GREEDY + """SELECT categoria, count(*) AS total FROM greedy
+WHERE CAST(w AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-12' GROUP BY categoria ORDER BY total DESC""",
         "route_retry": _ROUTED + "SELECT id, coalesce(u, 0) <> 0 AS to_help, coalesce(k, 0) <> 0 AS to_volunteers FROM routed",
         "route_terminal": _ROUTED + "SELECT id, u IS NOT NULL AS to_requests, k IS NOT NULL AS to_volunteers FROM routed",
         "add_attempts": f"WITH {_RECORDS} SELECT id, CAST(arrival % 6 + 1 AS INTEGER) AS attempts FROM records",

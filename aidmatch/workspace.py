@@ -58,8 +58,13 @@ def _open() -> list[list[str]]:
     return _scopes.open
 
 
+def scratch_path(spark: SparkSession) -> str:
+    """A path in the checkpoint folder that nothing uses."""
+    return f"{_shared_dir(spark)}/{uuid.uuid4().hex}"
+
+
 def _written(df: DataFrame, owner: list[str] | None) -> DataFrame:
-    path = f"{_shared_dir(df.sparkSession)}/{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession)
     if owner is not None:
         owner.append(path)
     df.write.option("maxRecordsPerFile", 0).parquet(path)
