@@ -47,10 +47,11 @@ def urgency_order(df: DataFrame) -> DataFrame:
     A sort by range cuts large groups over many tasks; numbers within a task
     start where those of the tasks before it end.
     """
-    order = [*GROUP, F.desc(urgency(F.col("nivel_urgencia"))), F.col("ts"), F.col("id")]
+    # the record key tells copies of one id apart, as in the choosing itself
+    order = [*GROUP, F.desc(urgency(F.col("nivel_urgencia"))), F.col("ts"), F.col("id"), F.col("rec_key")]
     # The task numbers must not change between the count and the numbering.
     sorted_helps = checkpointed(
-        df.filter("is_help").repartitionByRange(*order).withColumn("part", F.spark_partition_id())
+        with_record_key(df.filter("is_help")).repartitionByRange(*order).withColumn("part", F.spark_partition_id())
     )
     before = Window.partitionBy(*GROUP).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
@@ -63,7 +64,7 @@ def urgency_order(df: DataFrame) -> DataFrame:
         sorted_helps.withColumn("turn", F.row_number().over(within))
         .join(starts, [*GROUP, "part"])
         .withColumn("turn", (F.col("turn") + F.col("start")).cast("int"))
-        .drop("part", "start")
+        .drop("part", "start", "rec_key")
     )
 
 

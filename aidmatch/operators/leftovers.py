@@ -140,7 +140,7 @@ def outcome_counts(df: DataFrame, outcomes: DataFrame, max_attempts: int = MAX_A
 
     sizes = group_sizes(dedupe(df))
     urgency = F.coalesce(F.col("help.nivel_urgencia"), F.lit(0))
-    order = F.struct((-urgency).alias("first"), F.col("help.ts").alias("ts"), F.col("help.id").alias("id"))
+    order = F.struct((-urgency).alias("first"), F.col("help.ts").alias("ts"), F.col("help.id").alias("id"), F.col("help.rec_key").alias("rec_key"))
     # A request that comes after the match of the group's last volunteer found the pool empty.
     groups = outcomes.groupBy(*GROUP).agg(
         F.count("distance").alias("taken"), F.max(F.when(F.col("distance").isNotNull(), order)).alias("last")

@@ -1,8 +1,9 @@
 """One attempt over windowed records: matches, dead letters and records to try again."""
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from aidmatch.operators.assignment import assign
 from aidmatch.operators.leftovers import (
@@ -21,10 +22,23 @@ from aidmatch.workspace import checkpointed
 class Attempt:
     outcomes: DataFrame
     max_attempts: int = MAX_ATTEMPTS
+    #: What was counted while the outcomes were written.
+    counted: dict[str, int] = field(default_factory=dict)
 
     def saved(self) -> "Attempt":
-        """The same with its outcomes written once, for several readers."""
-        return Attempt(checkpointed(self.outcomes), self.max_attempts)
+        """The same with its outcomes written once, for several readers, and counted on the way, without a job of its own."""
+        left = F.col("distance").isNull()
+        over = F.coalesce("help.attempts", "volunteer.attempts", F.lit(0)) + 1 >= self.max_attempts
+        seen = Observation()
+        outcomes = checkpointed(self.outcomes.observe(
+            seen,
+            F.count("distance").alias("matched"),
+            F.count_if(left & F.col("help").isNotNull()).alias("requests_left"),
+            F.count_if(left & F.col("volunteer").isNotNull()).alias("volunteers_left"),
+            F.count_if(left & over & F.coalesce("help.nivel_urgencia", "volunteer.nivel_urgencia").isNotNull()).alias("dead_requests"),
+            F.count_if(left & over & F.coalesce("help.radio_disponible_km", "volunteer.radio_disponible_km").isNotNull()).alias("dead_volunteers"),
+        ))
+        return Attempt(outcomes, self.max_attempts, dict(seen.get))
 
     @property
     def left(self) -> DataFrame:

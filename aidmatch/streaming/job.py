@@ -1,5 +1,6 @@
 """The matching job on streams: windows, attempt, tables, events and retries."""
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,6 +54,8 @@ class StreamConfig:
     max_attempts: int = MAX_ATTEMPTS
     urgencia_alias: bool = False
     bounds: dict = field(default_factory=dict)
+    #: Called with the id of a batch and what was counted in it, when its tables are committed.
+    on_batch: Callable[[int, dict[str, int]], None] | None = None
 
 
 def _parsed(spark: SparkSession, cfg: StreamConfig, options: dict) -> DataFrame:
@@ -135,6 +138,8 @@ def _write(done: Attempt, batch: DataFrame, batch_id: int, cfg: StreamConfig) ->
         batch_id, **done.tables(), outcome_counts=counts.crossJoin(F.broadcast(last)),
         closed=with_record_key(batch).select("w", "rec_key", day()),
     )
+    if cfg.on_batch:
+        cfg.on_batch(batch_id, done.counted)
 
 
 def result_table(spark: SparkSession, cfg: StreamConfig, name: str) -> DataFrame:

@@ -87,5 +87,15 @@ def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
     finally:
         _open().pop()
         for name in mine:
-            path = spark._jvm.org.apache.hadoop.fs.Path(name)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            _remove(spark, name)
+
+
+def discard(df: DataFrame) -> None:
+    """Remove a table of :func:`checkpointed` that no DataFrame reads any more, before its block ends."""
+    for folder in {name.rpartition("/")[0] for name in df.inputFiles()}:
+        _remove(df.sparkSession, folder)
+
+
+def _remove(spark: SparkSession, name: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

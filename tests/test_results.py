@@ -62,6 +62,11 @@ def test_a_dated_query_reads_the_folders_of_its_days(spark, tmp_path):
 def test_summaries_over_written_tables(spark, sf_dir, tmp_path):
     """Every summary of the result tables is the same over what several batches have written."""
     done = entry._attempt(spark, sf_dir).saved()
+    assert done.counted == {
+        "matched": done.matched.count(), "requests_left": done.left.filter("is_help").count(),
+        "volunteers_left": done.left.filter("NOT is_help").count(), "dead_requests": done.requests.count(),
+        "dead_volunteers": done.volunteers.count(),
+    }
     results = ResultTables(spark, str(tmp_path))
     tables = done.tables()
     for k in range(3):

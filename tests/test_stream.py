@@ -134,7 +134,8 @@ def test_backlog_or_lagging_stream_loses_nothing(spark, tmp_path, lagging):
 
 @pytest.mark.parametrize("scope", ["union", "source"])
 def test_late_record_is_dropped_and_window_fires_once(spark, tmp_path, scope):
-    cfg = config(tmp_path, watermark_scope=scope)
+    counted = []
+    cfg = config(tmp_path, watermark_scope=scope, on_batch=lambda batch_id, counts: counted.append(counts))
     send(spark, f"{tmp_path}/help", "a", [need("h")])
     send(spark, f"{tmp_path}/volunteer", "a", [offer("v")])
     query = run_stream(spark, cfg)
@@ -153,6 +154,7 @@ def test_late_record_is_dropped_and_window_fires_once(spark, tmp_path, scope):
     assert dropped == 1
     lost = result_table(spark, cfg, "outcome_counts").groupBy("outcome").agg(F.sum("total").alias("n"))
     assert {r["outcome"]: r["n"] for r in lost.collect()} == {"matched": 1}
+    assert counted == [{"matched": 1, "requests_left": 0, "volunteers_left": 0, "dead_requests": 0, "dead_volunteers": 0}]
     # what the job lost from sight is listed, and nothing else
     run_arrivals(spark, cfg, availableNow=True).awaitTermination()
     assert [(r["id"], r["w"]) for r in late_records(spark, cfg).collect()] == [("late", START)]

@@ -2,7 +2,7 @@
 
 from pathlib import Path
 
-from aidmatch.workspace import checkpointed, scratch
+from aidmatch.workspace import checkpointed, discard, scratch
 
 
 def _folder(df) -> Path:
@@ -21,6 +21,13 @@ def test_scratch_removes_what_it_wrote(spark):
     assert before.count() == 3 and kept.count() == 2
 
 
+def test_discard_removes_one_table(spark):
+    one, other = checkpointed(spark.range(3)), checkpointed(spark.range(4))
+    folder = _folder(one)
+    discard(one)
+    assert not folder.exists() and other.count() == 4
+
+
 def test_one_file_per_task_whatever_the_session_says(spark):
     spark.conf.set("spark.sql.files.maxRecordsPerFile", 10)
     try:
