@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from aidmatch.functions.geo import haversine, position
 from aidmatch.functions.grid import CELL, LEVELS, diagonal_km, point_cells, within_circles
+from aidmatch.workspace import checkpointed
 
 # Order in which a place's names are tried, and the name without any.
 FORM_PRECEDENCE = ["village", "town", "city"]
@@ -21,20 +22,18 @@ def place_name(precedence: list, default: str):
     return F.coalesce(*[F.nullif(F.col(c), F.lit("")) for c in precedence], F.lit(default))
 
 
-def nearest_place(df: DataFrame, gazetteer: DataFrame) -> DataFrame:
-    """Add the nearest place (all gazetteer columns as ``place``) and ``place_km`` to points with lat, lon.
+# Places in all lists of the tile index up to which it is broadcast, about 200 bytes each.
+BROADCAST_PLACES = 200_000
+
+
+def tile_index(tiles: DataFrame, gazetteer: DataFrame) -> DataFrame:
+    """For every tile (tx, ty, tz, c_pos) the places that can be nearest to a point of it, as ``places``.
 
-    Positions are searched once each, whatever rows share them, and collapse into 2 km tiles. On every level of the grid one place stands
-    for its cube; the nearest stand-in around a tile bounds how far the nearest
-    place of any of its points can be, and only places within that bound are
-    compared. Neither side has to fit in memory.
+    On every level of the grid one place stands for its cube; the nearest
+    stand-in around a tile bounds how far the nearest place of any of its points
+    can be, and only places within that bound are listed.
     """
     places = gazetteer.select(F.struct(*gazetteer.columns).alias("place"), position(F.col("lat"), F.col("lon")).alias("p_pos"))
-    at = position(F.col("lat"), F.col("lon"))
-    points = point_cells(df.select(at.alias("pos")).distinct(), "pos", [_TILE_LEVEL])
-    points = points.withColumnsRenamed(dict(zip(CELL[1:], _TILE))).drop("level")
-    # Any of its points can speak for a tile: the others are at most a diagonal away.
-    tiles = points.groupBy(*_TILE).agg(F.min("pos").alias("c_pos"))
     stand_ins = point_cells(places, "p_pos").groupBy(*CELL).agg(F.min("p_pos").alias("near"))
     bounds = (
         point_cells(tiles, "c_pos", LEVELS)
@@ -43,11 +42,27 @@ def nearest_place(df: DataFrame, gazetteer: DataFrame) -> DataFrame:
         .agg(F.min("c_pos").alias("c_pos"), F.min(haversine(F.col("near"), F.col("c_pos"))).alias("bound"))
         .withColumn("reach", F.col("bound") + 2 * diagonal_km(_TILE_LEVEL))
     )
-    options = within_circles(places, bounds, []).select(*_TILE, "place", "p_pos")
-    best = F.min(F.struct(haversine(F.col("pos"), F.col("p_pos")).alias("place_km"), F.col("place.place_id"), F.col("place")))
-    found = points.select("pos", *_TILE).join(options, _TILE).groupBy("pos").agg(best.alias("best"))
-    found = found.select(F.col("pos").alias("place_pos"), "best.place_km", "best.place")
-    return df.withColumn("place_pos", at).join(found, "place_pos", "left").drop("place_pos")
+    return within_circles(places, bounds, []).groupBy(*_TILE).agg(F.collect_list(F.struct("p_pos", "place")).alias("places"))
+
+
+def nearest_place(df: DataFrame, gazetteer: DataFrame) -> DataFrame:
+    """Add the nearest place (all gazetteer columns as ``place``) and ``place_km`` to points with lat, lon.
+
+    Rows are looked up one by one in an index from 2 km tiles to the places that
+    can be nearest, so they are not shuffled as long as the index is small, and
+    however many of them share a position. Rows without a position have no place.
+    """
+    at = position(F.col("lat"), F.col("lon"))
+    placed = point_cells(df.withColumn("place_pos", at), "place_pos", [_TILE_LEVEL]).withColumnsRenamed(dict(zip(CELL[1:], _TILE))).drop("level")
+    # Any of its points can speak for a tile: the others are at most a diagonal away.
+    tiles = placed.filter("tx IS NOT NULL").groupBy(*_TILE).agg(F.min("place_pos").alias("c_pos"))
+    index = checkpointed(tile_index(checkpointed(tiles), gazetteer))
+    listed = index.agg(F.coalesce(F.sum(F.size("places")), F.lit(0))).first()[0]
+    found = placed.join(F.broadcast(index) if listed <= BROADCAST_PLACES else index, _TILE, "left")
+    near = F.array_min(F.transform("places", lambda p: F.struct(
+        haversine(F.col("place_pos"), p["p_pos"]).alias("place_km"), p["place"]["place_id"].alias("id"), p["place"].alias("place"),
+    )))
+    return found.withColumn("near", near).select(*df.columns, "near.place_km", "near.place")
 
 
 def with_place_name(df: DataFrame, gazetteer: DataFrame, precedence=FORM_PRECEDENCE, default=FORM_DEFAULT):

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from aidmatch.functions.geo import parse_coordinates
 from aidmatch.operators import leftovers as L
 from aidmatch.operators import validation as V
+from aidmatch.operators import places as places_module
 from aidmatch.operators.places import GENERATOR_DEFAULT, GENERATOR_PRECEDENCE, with_place_name
 from aidmatch.operators.proximity import nearest_volunteer, reachable
 from aidmatch.plans.replay import replay
@@ -80,7 +81,9 @@ def test_routing_and_attempts(spark):
     assert L.unmatched_volunteers(zero).count() == 1
 
 
-def test_places(spark):
+@pytest.mark.parametrize("most", [200_000, -1], ids=["broadcast", "shuffled"])
+def test_places(spark, monkeypatch, most):
+    monkeypatch.setattr(places_module, "BROADCAST_PLACES", most)
     rng = random.Random(1)
     places = [(i, rng.uniform(38, 41), rng.uniform(-2, 1)) for i in range(60)] + [(60, -17.0, 179.9), (61, 89.9, 10.0)]
     points = [(f"p{i}", rng.uniform(37, 42), rng.uniform(-3, 2)) for i in range(60)] + [("q", -17.0, -179.9), ("r", 89.0, -170.0)]
