@@ -21,8 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aidmatch.llm.common import SPACE, parts_for, saved_documents, saved_with_row_id, whole_text
-from aidmatch.workspace import checkpointed
+from aidmatch.llm.common import SPACE, numbered_documents, parts_for, rows_times, saved_with_row_id, whole_text
+from aidmatch.workspace import checkpointed, scratch
 
 LIVE = "digest binary, keep_id bigint, keep_row bigint, group_size bigint"
 KEEP, ADD, WITHDRAW = 0, 1, 2
@@ -237,9 +237,11 @@ def exact_dedup(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def drop_copies(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` without the copies, all columns as they were."""
-    rows = saved_documents(docs)
-    digests = checkpointed(with_digest(rows.select("doc.doc_id", f"doc.{text}", "row_id"), text).select("doc_id", "digest", "row_id"))
-    buckets = parts_for(docs.sparkSession, digests.count(), DIGESTS_PER_BUCKET)
-    kept = live_digests(digests, buckets).select(F.col("keep_row").alias("row_id"))
-    return rows.join(checkpointed(kept), "row_id", "left_semi").select("doc.*")
+    """``docs`` without the copies, all columns as they were; documents are neither written nor shuffled for it."""
+    spark = docs.sparkSession
+    rows = numbered_documents(docs)
+    with scratch(spark) as keep:
+        digests = checkpointed(with_digest(rows.select("doc.doc_id", f"doc.{text}", "row_id"), text).select("doc_id", "digest", "row_id"))
+        buckets = parts_for(spark, digests.count(), DIGESTS_PER_BUCKET)
+        kept = keep(live_digests(digests, buckets).select(F.col("keep_row").alias("row_id"), F.lit(1).alias("copies")))
+    return rows_times(rows, kept).select("doc.*")

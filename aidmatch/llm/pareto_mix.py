@@ -18,8 +18,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aidmatch.llm.common import WORD, saved_documents, whole_text
-from aidmatch.workspace import checkpointed
+from aidmatch.llm.common import WORD, numbered_documents, rows_times, whole_text
+from aidmatch.workspace import checkpointed, scratch
 
 #: Of the sources in code point order, null last, repeating.
 WEIGHTS = (5, 2, 1)
@@ -157,20 +157,21 @@ def repeat_by_mix(docs: DataFrame, text: str = "text", source: str = "source", s
     Rows of one id, source and size are alike to the mix; their copies go to
     them in the order of their place in the written table.
     """
-    rows = saved_documents(docs)
+    rows = numbered_documents(docs)
     words = F.regexp_count(whole_text(f"doc.{text}"), F.lit(WORD)).cast("bigint")
     keys = ["_mix_id", "_mix_source", "_mix_size"]
-    numbered = rows.withColumns({"_mix_id": F.col("doc.doc_id"), "_mix_source": F.col(f"doc.{source}"), "_mix_size": words})
-    alike = Window.partitionBy(*keys)
-    placed = numbered.select(*keys, "row_id").withColumn("_mix_kth", F.row_number().over(alike.orderBy("row_id")) - 1)
-    taken = mix(docs, text, source, seed).select(
-        F.col("doc_id").alias("_mix_id"), F.col("source").alias("_mix_source"), F.col("size").alias("_mix_size"), "copies"
-    ).withColumn("_mix_kth", F.row_number().over(alike.orderBy(F.desc("copies"))) - 1)
-    same = [placed[k].eqNullSafe(taken[k]) for k in [*keys, "_mix_kth"]]
-    times = placed.join(taken, same).filter("copies > 0").select("row_id", "copies")
-    return rows.join(times, "row_id").withColumn(
-        "_mix_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies"))
-    ).select("doc.*")
+    with scratch(docs.sparkSession) as keep:
+        numbered = checkpointed(rows.select(
+            F.col("doc.doc_id").alias("_mix_id"), F.col(f"doc.{source}").alias("_mix_source"), words.alias("_mix_size"), "row_id"
+        ))
+        alike = Window.partitionBy(*keys)
+        placed = numbered.withColumn("_mix_kth", F.row_number().over(alike.orderBy("row_id")) - 1)
+        taken = mix(docs, text, source, seed).select(
+            F.col("doc_id").alias("_mix_id"), F.col("source").alias("_mix_source"), F.col("size").alias("_mix_size"), "copies"
+        ).withColumn("_mix_kth", F.row_number().over(alike.orderBy(F.desc("copies"))) - 1)
+        same = [placed[k].eqNullSafe(taken[k]) for k in [*keys, "_mix_kth"]]
+        times = keep(placed.join(taken, same).filter("copies > 0").select("row_id", "copies"))
+    return rows_times(rows, times, MOST).select("doc.*")
 
 
 #: The same mix in DuckDB's SQL, each step over all rows at once.

@@ -37,10 +37,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aidmatch.llm.common import saved_documents, whole_text
+from aidmatch.llm.common import numbered_documents, rows_times, whole_text
 from aidmatch.llm.components import connected_components
 from aidmatch.llm.shingles import mix, shingle_set
-from aidmatch.workspace import checkpointed
+from aidmatch.workspace import checkpointed, scratch
 
 #: Two sets link when 100 * |A & B| >= 80 * |A | B|; the bounds below follow from this.
 PERCENT = 80
@@ -472,11 +472,12 @@ def near_duplicates(docs: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> Dat
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each component, its smallest id; all columns as they were."""
-    rows = saved_documents(docs)
-    found = near_duplicates(rows.select("doc.doc_id", "doc.text", "row_id"), ("doc_id", "row_id"))
-    group = F.coalesce(F.col("component_id").cast("string"), F.lit("-"))
-    alone = F.when(F.col("set_id").isNull() | F.col("component_id").isNull(), F.col("row_id"))
-    kept = found.groupBy(group.alias("group"), alone.alias("alone")).agg(
-        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_id")).alias("first")
-    ).select("first.row_id")
-    return rows.join(checkpointed(kept), "row_id", "left_semi").select("doc.*")
+    rows = numbered_documents(docs)
+    with scratch(docs.sparkSession) as keep:
+        found = near_duplicates(rows.select("doc.doc_id", "doc.text", "row_id"), ("doc_id", "row_id"))
+        group = F.coalesce(F.col("component_id").cast("string"), F.lit("-"))
+        alone = F.when(F.col("set_id").isNull() | F.col("component_id").isNull(), F.col("row_id"))
+        kept = keep(found.groupBy(group.alias("group"), alone.alias("alone")).agg(
+            F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_id")).alias("first")
+        ).select("first.row_id", F.lit(1).alias("copies")))
+    return rows_times(rows, kept).select("doc.*")
