@@ -1,7 +1,7 @@
 """Phrases that stand out, by relational mining of occurrences (SETM).
 
 A relation R_k holds every occurrence of a frequent phrase of k words, kept as rows
-(chunk, phrase, sorted positions); a chunk is a bounded run of pieces of one
+(chunk, phrase, sorted positions as packed differences); a chunk is a bounded run of pieces of one
 language, and positions leave a gap where a piece ends. R_k and R_k are merged
 in the order of their positions: two phrases at adjacent positions of a piece make
 one of k + 1 words. The groups of the result are counted over all chunks, the result
@@ -9,8 +9,8 @@ is semi-joined with the groups that are frequent, and goes on as R_(k+1).
 
 Merging needs one chunk at a time, counting adds up one number per phrase and
 chunk, so neither a frequent word nor a long or common text is ever one task's
-work. Where the table of frequent groups is small, Spark sends it out for the
-semi-join, and shuffles both sides where it is not.
+work. Where the table of frequent groups is small by its count, it is sent out for the
+semi-join, and both sides are shuffled where it is not.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aidmatch.llm.common import saved_with_row_id, whole_text
-from aidmatch.workspace import checkpointed, scratch
+from aidmatch.workspace import checkpointed, discard, scratch
 
 #: Words of the longest phrase, and the least number of its occurrences.
 LONGEST, FREQUENT = 4, 30
@@ -34,6 +34,8 @@ COVERED = 80
 BEST = 2000
 #: Bytes of text that make a chunk; a chunk ends with a piece.
 CHUNK = 1 << 22
+#: Frequent groups that are sent out for a semi-join, about 80 bytes each.
+BROADCAST_GROUPS = 1_500_000
 #: Rows of one batch that leaves a task.
 BATCH = 50_000
 
@@ -82,12 +84,41 @@ def words_at(chunk: bytes) -> tuple[pa.Array, np.ndarray]:
     return words, at.astype(np.int32)
 
 
-def _lists(offsets: np.ndarray, values: np.ndarray) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))
+def pack(at: np.ndarray, first: np.ndarray) -> pa.Array:
+    """Lists of rising positions, of which those at ``first`` begin one, as differences of seven bits to a byte."""
+    if not len(at):
+        return pa.array([b""] * len(first), pa.binary())
+    step = np.diff(at.astype(np.int64), prepend=0)
+    step[first] = at[first]
+    size = 1 + sum((step >= 1 << bits).astype(np.int64) for bits in (7, 14, 21, 28))
+    ends = np.cumsum(size)
+    out = np.empty(int(ends[-1]), dtype=np.uint8)
+    for i in range(int(size.max())):
+        rows = np.flatnonzero(size > i)
+        out[ends[rows] - size[rows] + i] = (step[rows] >> (7 * i) & 127) | np.where(size[rows] > i + 1, 128, 0)
+    offsets = np.r_[(ends - size)[first], ends[-1]].astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(out)])
+
+
+def unpack(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The positions of all lists in a row, and how many there are in each."""
+    offsets = np.frombuffer(lists.buffers()[1], dtype=np.int32)[lists.offset:lists.offset + len(lists) + 1]
+    data = np.frombuffer(lists.buffers()[2] or b"", dtype=np.uint8)[offsets[0]:offsets[-1]]
+    ends = np.flatnonzero(data < 128)
+    starts = np.r_[0, ends[:-1] + 1][:len(ends)]
+    size = ends - starts + 1
+    step = np.zeros(len(ends), dtype=np.int64)
+    for i in range(int(size.max(initial=0))):
+        rows = np.flatnonzero(size > i)
+        step[rows] |= (data[starts[rows] + i] & 127).astype(np.int64) << (7 * i)
+    first = np.searchsorted(ends, offsets - offsets[0])
+    counts = np.diff(first)
+    sums = np.r_[0, np.cumsum(step)]
+    return sums[1:] - np.repeat(sums[first[:-1]], counts), counts
 
 
 def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, text) to (lang, chunk, word, at)."""
+    """(lang, text) to (lang, chunk, word, n, at)."""
     nth = TaskContext.get().partitionId() << 32
     waiting: dict[str, list[bytes]] = {}
     sizes: dict[str, int] = {}
@@ -101,13 +132,14 @@ def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             order = np.argsort(codes, kind="stable")
             offsets = np.r_[0, np.cumsum(np.bincount(codes, minlength=len(coded.dictionary)))]
             at = at[order]
+            counts = np.diff(offsets)
             names = coded.dictionary.cast(pa.binary()).cast(pa.string())
             for low in range(0, len(names), BATCH):
                 high = min(low + BATCH, len(names))
                 yield pa.RecordBatch.from_arrays([
                     pa.array([lang] * (high - low), pa.string()), pa.array(np.full(high - low, nth)), names.slice(low, high - low),
-                    _lists(offsets[low:high + 1] - offsets[low], at[offsets[low]:offsets[high]]),
-                ], names=["lang", "chunk", "word", "at"])
+                    pa.array(counts[low:high], pa.int32()), pack(at[offsets[low]:offsets[high]], offsets[low:high] - offsets[low]),
+                ], names=["lang", "chunk", "word", "n", "at"])
             nth += 1
 
     for batch in batches:
@@ -124,11 +156,10 @@ def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _extended(table: pa.Table) -> pa.Table:
-    """One chunk's rows (chunk, id, at) merged with themselves: (chunk, head, tail, at) of adjacent phrases."""
+    """One chunk's rows (chunk, id, at) merged with themselves: (chunk, head, tail, n, at) of adjacent phrases."""
     table = table.combine_chunks()
-    ids, lists = np.asarray(table.column("id").combine_chunks()), table.column("at").combine_chunks()
-    at = np.asarray(lists.flatten())
-    ids = np.repeat(ids, np.asarray(lists.value_lengths()))
+    at, counts = unpack(table.column("at").chunk(0))
+    ids = np.repeat(table.column("id").to_numpy(), counts)
     order = np.argsort(at)
     at, ids = at[order], ids[order]
     next_to = np.flatnonzero(at[1:] == at[:-1] + 1)
@@ -138,31 +169,38 @@ def _extended(table: pa.Table) -> pa.Table:
     new = np.flatnonzero(np.r_[len(at) > 0, (head[1:] != head[:-1]) | (tail[1:] != tail[:-1])][:len(at)])
     return pa.table([
         pa.array(np.full(len(new), table.column("chunk")[0].as_py())), pa.array(head[new]), pa.array(tail[new]),
-        _lists(np.r_[new, len(at)], at),
-    ], names=["chunk", "head", "tail", "at"])
+        pa.array(np.diff(np.r_[new, len(at)]), pa.int32()), pack(at, new),
+    ], names=["chunk", "head", "tail", "n", "at"])
 
 
 def _frequent(found: DataFrame, key: list[str], least: int) -> DataFrame:
     """The groups of occurrences that are frequent, each with a number of its own as ``id`` and its occurrences as ``a``."""
-    counts = found.groupBy(*key).agg(F.sum(F.size("at")).cast("bigint").alias("a")).filter(F.col("a") >= least)
+    counts = found.groupBy(*key).agg(F.sum("n").cast("bigint").alias("a")).filter(F.col("a") >= least)
     return saved_with_row_id(counts).withColumnRenamed("row_id", "id")
 
 
+def _semi_joined(found: DataFrame, groups: DataFrame, key: list[str]) -> DataFrame:
+    """The occurrences (chunk, id, at) of frequent groups; the groups are sent out where that is small, else both sides are shuffled."""
+    names = groups.select(*key, "id")
+    names = F.broadcast(names) if groups.count() <= BROADCAST_GROUPS else names
+    return found.join(names, key).select("chunk", "id", "at")
+
+
 def mine(docs: DataFrame, longest: int = LONGEST, least: int = FREQUENT) -> tuple[DataFrame, DataFrame]:
     """(lang, k, phrase, a) of every frequent phrase of up to ``longest`` words, and (lang, n), the words of each language."""
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), whole_text().alias("text"))
     with scratch(docs.sparkSession) as keep:
-        found = checkpointed(texts.mapInArrow(_word_rows, "lang string, chunk bigint, word string, at array<int>"))
-        words = keep(found.groupBy("lang").agg(F.sum(F.size("at")).cast("bigint").alias("n")))
+        found = checkpointed(texts.mapInArrow(_word_rows, "lang string, chunk bigint, word string, n int, at binary"))
+        words = keep(found.groupBy("lang").agg(F.sum("n").cast("bigint").alias("n")))
         key = ["lang", "word"]
         groups = _frequent(found, key, least)
         named = groups.select("id", "lang", F.lit(1).alias("k"), F.col("word").alias("phrase"), F.col("word").alias("last"), "a")
         every = [named]
         for k in range(2, longest + 1):
-            with scratch(docs.sparkSession) as keep_next:
-                relation = found.join(groups.select(*key, "id"), key).select("chunk", "id", "at")
-                found = keep_next(relation.groupBy("chunk").applyInArrow(_extended, "chunk bigint, head bigint, tail bigint, at array<int>"))
-            key = ["head", "tail"]
+            relation = _semi_joined(found, groups, key)
+            longer = checkpointed(relation.groupBy("chunk").applyInArrow(_extended, "chunk bigint, head bigint, tail bigint, n int, at binary"))
+            discard(found)
+            found, key = longer, ["head", "tail"]
             groups = _frequent(found, key, least)
             heads = named.select(F.col("id").alias("head"), "lang", "phrase")
             tails = named.select(F.col("id").alias("tail"), "last")
