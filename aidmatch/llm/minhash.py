@@ -10,10 +10,11 @@ Candidates are checked by the share of minima that agree (the low byte of each i
 kept), with a margin of six standard deviations, and then by the whole sets.
 
 Pairs within a band are not listed. Each set of a band is first compared with the
-first set of that band; links make components. As long as bands still hold several
-components, their sets meet random members of the largest one, and when that joins
-little, the signatures of what is left are compared block by block across components.
-Equal sets count as one. So every link that could join two components is looked at.
+first set of that band; links make components. Where a band still holds several
+components, its sets meet those members that agree most with what is common in it,
+such as the text that the others were made from. What still lies outside the largest
+component of a band is compared with all of the band, by signatures and then by whole
+sets that are at hand, and only links are given out. Equal sets count as one, so every link that could join two components is found.
 """
 
 from __future__ import annotations
@@ -23,10 +24,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aidmatch.llm.common import join_unique, numbered_documents, rows_times, whole_text
+from aidmatch.llm.common import join_unique, numbered_documents, parts_for, rows_times, whole_text
 from aidmatch.llm.components import connected_components
 from aidmatch.llm.shingles import mix, shingle_set
 from aidmatch.workspace import checkpointed, scratch
@@ -40,10 +41,12 @@ HASHES = BANDS * ROWS
 ALIKE = 0.8 - 6 * (0.8 * 0.2 / HASHES) ** 0.5
 #: A task gives the signature of equal sets once as long as it remembers them.
 REMEMBERED = 200_000
-#: Members of the largest component that a set meets in one turn.
+#: Members of a band that the sets of its other components meet.
 MEET = 8
-#: Sets of a band in one block, and sets that are compared with one other set in one task.
-BLOCK, PER_HUB = 2048, 4096
+#: Members of a band that tell what is common in it.
+COMMON = 64
+#: Bytes of sets of a band in one block, and sets that are compared with one other set in one task.
+BLOCK_BYTES, PER_HUB = 1 << 25, 4096
 
 _U = np.uint64
 _chance = np.random.Generator(np.random.PCG64(13))
@@ -131,40 +134,105 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+class _Rest:
+    """Sets of a block with their tokens numbered, to count what one set shares with many."""
+
+    def __init__(self, tokens: list[np.ndarray]):
+        self.size = np.array([len(t) for t in tokens])
+        self.start = np.r_[0, np.cumsum(self.size)[:-1]]
+        self.names, self.codes = np.unique(np.concatenate(tokens), return_inverse=True)
+        self.mine = np.zeros(len(self.names), dtype=bool)
+
+    def linked(self, tokens: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Which of the rows link with a set."""
+        at = np.searchsorted(self.names, tokens)
+        at = at[self.names[np.minimum(at, len(self.names) - 1)] == tokens]
+        self.mine[at] = True
+        size = self.size[rows]
+        ends = np.cumsum(size)
+        places = np.arange(ends[-1]) + np.repeat(self.start[rows] - ends + size, size)
+        both = np.add.reduceat(self.mine[self.codes[places]].astype(np.int64), ends - size)
+        self.mine[at] = False
+        return 100 * both >= PERCENT * (len(tokens) + size - both)
+
+
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of one group in different components that may link; rows (band, low, high, sid, n, part, signature, side) come sorted by group.
+    """Links between sets of a band in different components.
 
-    Of a pair of blocks (sides 0 and 1) only pairs across count; a block with itself has side 2.
+    Rows (band, low, high, asks, sid, part, main, signature, bands, tokens) come sorted by block,
+    those that ask first. One that asks is compared with the rest: rows of the
+    band's main component, and others with a larger name, so pairs count once; a
+    pair that shares several bands counts in the first of them.
     """
-    def pairs(rows: list) -> Iterator[pa.RecordBatch]:
-        rows.sort(key=lambda r: r[1])
-        sid, n, part, side = (np.array([r[i] for r in rows]) for i in (0, 1, 2, 4))
-        signature = np.frombuffer(b"".join(r[3] for r in rows), dtype=np.uint8).reshape(-1, HASHES)
-        for at in range(0, len(rows), 64):
-            end = min(at + 64, len(rows))
-            reach = int(np.searchsorted(n, n[end - 1] * 100 // PERCENT, side="right"))  # sizes rise
-            other = slice(at, reach)
-            fit = (part[at:end, None] != part[None, other]) & (n[at:end, None] * 100 >= n[None, other] * PERCENT)
-            fit &= (side[at:end, None] != side[None, other]) | (side[at:end, None] == 2)
-            fit &= np.arange(at, end)[:, None] < np.arange(at, reach)[None]
-            i, j = np.nonzero(fit)
-            for lot in range(0, len(i), 1 << 16):
-                a, b = at + i[lot:lot + (1 << 16)], at + j[lot:lot + (1 << 16)]
-                near = (signature[a] == signature[b]).mean(axis=1) >= ALIKE
-                if near.any():
-                    yield pa.RecordBatch.from_arrays([pa.array(sid[a[near]]), pa.array(sid[b[near]])], names=["hub", "sid"])
-
-    last, rows = None, []
+    def block(band: int, asking: list, rest: list) -> Iterator[pa.RecordBatch]:
+        if not asking or not rest:
+            return
+        sid, part, main = (np.array([r[i] for r in rest]) for i in (0, 1, 2))
+        signature = np.frombuffer(b"".join(r[3] for r in rest), dtype=np.uint8).reshape(-1, HASHES)
+        keys = np.array([r[4] for r in rest], dtype=np.int64)
+        sets = _Rest([np.frombuffer(r[5], dtype=np.uint64) for r in rest])
+        size = sets.size
+        joined: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while joined.get(x, x) != x:
+                x = joined[x]
+            return x
+
+        found = []
+        for name, own, _, print_, bands_, raw in asking:
+            mine = np.frombuffer(raw, dtype=np.uint64)
+            fit = (part != own) & (main | (sid > name)) & (np.minimum(size, len(mine)) * 100 >= np.maximum(size, len(mine)) * PERCENT)
+            near = np.flatnonzero(fit)
+            near = near[(signature[near] == np.frombuffer(print_, dtype=np.uint8)).mean(axis=1) >= ALIKE]
+            shared = keys[near] == np.array(bands_, dtype=np.int64)
+            near = near[np.array(bands_)[shared.argmax(axis=1)] == band] if len(near) else near
+            for lot in range(0, len(near), 4096):
+                some = near[lot:lot + 4096]
+                for i in some[sets.linked(mine, some)]:
+                    # one link for two components
+                    a, b = find(int(own)), find(int(part[i]))
+                    if a != b:
+                        joined[max(a, b)] = min(a, b)
+                        found.append((name, int(sid[i])))
+        yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    last, asking, rest = None, [], []
     for batch in batches:
-        columns = [batch.column(i).to_pylist() for i in range(8)]
-        for key, row in zip(zip(*columns[:3]), zip(*columns[3:])):
+        columns = [batch.column(i).to_pylist() for i in range(10)]
+        for *key, asks, sid, part, main, print_, bands_, tokens in zip(*columns):
             if key != last:
-                if len(rows) > 1:
-                    yield from pairs(rows)
-                last, rows = key, []
-            rows.append(row)
-    if len(rows) > 1:
-        yield from pairs(rows)
+                if last is not None:
+                    yield from block(last[0], asking, rest)
+                last, asking, rest = key, [], []
+            (asking if asks else rest).append((sid, part, main, print_, bands_, tokens))
+    if last is not None:
+        yield from block(last[0], asking, rest)
+
+
+def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The most frequent value of every place of a band's signatures."""
+    for batch in batches:
+        common = []
+        for prints in batch.column(1).to_pylist():
+            rows = np.frombuffer(b"".join(prints), dtype=np.uint8).reshape(-1, HASHES)
+            counts = np.zeros((HASHES, 256), dtype=np.int32)
+            np.add.at(counts, (np.arange(HASHES)[None, :], rows), 1)
+            common.append(counts.argmax(axis=1).astype(np.uint8).tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(common, pa.binary())], names=["band", "common"])
+
+
+def _agreement(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            mine, common = (np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype=np.uint8).reshape(-1, HASHES) for i in (2, 3))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array((mine == common).sum(axis=1))], names=["band", "sid", "agree"])
+
+
+def _sets_of(wanted: DataFrame, documents: DataFrame) -> DataFrame:
+    """(sid, tokens) of the sets named in ``wanted`` (sid), from their texts, which are read again."""
+    texts = rows_times(documents.select("row_id", "text"), wanted.select(F.col("sid").alias("row_id"), F.lit(1).alias("copies")))
+    return checkpointed(texts.mapInArrow(_token_rows, "sid bigint, tokens binary"))
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, documents: DataFrame) -> DataFrame:
@@ -176,9 +244,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, documents: DataFrame) -> DataF
         join_unique(with_member, of_hub, "hub").select("hub", "sid", "n", "hub_n", "signature", "hub_signature")
         .mapInArrow(_alike, "hub bigint, sid bigint")
     )
-    wanted = alike.select("sid").unionByName(alike.select(F.col("hub").alias("sid"))).distinct()
-    texts = rows_times(documents.select("row_id", "text"), wanted.select(F.col("sid").alias("row_id"), F.lit(1).alias("copies")))
-    tokens = checkpointed(texts.mapInArrow(_token_rows, "sid bigint, tokens binary"))
+    tokens = _sets_of(alike.select("sid").unionByName(alike.select(F.col("hub").alias("sid"))).distinct(), documents)
     lots = checkpointed(alike.groupBy("hub").agg(F.ceil(F.count("*") / PER_HUB).alias("lots")))
     dealt = checkpointed(join_unique(alike, lots, "hub").withColumn("lot", F.pmod(F.xxhash64("sid"), "lots")))
     members = join_unique(dealt, tokens, "sid").select("hub", "lot", F.col("sid").alias("member"), "tokens")
@@ -197,29 +263,51 @@ def _apart(shared: DataFrame, components: DataFrame) -> DataFrame:
     return checkpointed(join_unique(placed, open_.select("band", "many"), "band"))
 
 
-def _to_meet(open_: DataFrame, components: DataFrame, turn: int) -> DataFrame:
-    """Pairs (hub, sid): the sets of a band and random members of the largest component in it."""
-    sizes = components.groupBy("component").agg(F.count("*").alias("size"))
-    ranked = join_unique(open_, sizes.withColumnRenamed("component", "part"), "part", "left")
-    chance = lambda i: F.xxhash64("sid", F.lit(turn), F.lit(i))
-    hubs = checkpointed(ranked.groupBy("band").agg(F.array(*(
-        F.min(F.struct(-F.coalesce("size", F.lit(1)), "part", chance(i), "sid")) for i in range(MEET)
-    )).alias("hubs")))
-    met = join_unique(open_, hubs, "band").select("sid", "part", F.explode(F.array_distinct("hubs")).alias("hub"))
+def _meetings(open_: DataFrame, hubs: DataFrame) -> DataFrame:
+    """Pairs (hub, sid): the sets of a band and its hubs (band, hubs: part and sid) in other components."""
+    met = join_unique(open_, checkpointed(hubs), "band").select("sid", "part", F.explode(F.array_distinct("hubs")).alias("hub"))
     return met.filter(F.col("part") != F.col("hub.part")).select(F.col("hub.sid").alias("hub"), "sid").distinct()
 
 
-def _blocks(open_: DataFrame, sets: DataFrame) -> DataFrame:
-    """Rows for :func:`_across`: the sets of a band in blocks, every two blocks together once."""
-    dealt = open_.withColumns({"cuts": F.ceil(F.col("many") / BLOCK).cast("int")}).withColumn("cut", F.pmod(F.xxhash64("sid"), "cuts").cast("int"))
-    met = dealt.withColumn("other", F.explode(F.expr("sequence(0, cuts - 1)")))
-    side = F.when(F.col("cut") == F.col("other"), 2).when(F.col("cut") < F.col("other"), 0).otherwise(1)
-    rows = met.select(
-        "band", F.least("cut", "other").alias("low"), F.greatest("cut", "other").alias("high"), "sid", "part", side.alias("side")
-    )
-    return join_unique(checkpointed(rows), sets.select("sid", "n", "signature"), "sid").select(
-        "band", "low", "high", "sid", "n", "part", "signature", "side"
-    )
+def _most_common(open_: DataFrame, sets: DataFrame) -> DataFrame:
+    """The members of each band that agree most with what is common in it."""
+    signed = sets.select("sid", "signature")
+    some = Window.partitionBy("band").orderBy(F.xxhash64("sid"), "sid")
+    # cut off before the shuffle as well, so a band is never in one task
+    sample = checkpointed(open_.select("band", "sid").withColumn("nth", F.row_number().over(some)).filter(F.col("nth") <= COMMON).drop("nth"))
+    common = join_unique(sample, signed, "sid").groupBy("band").agg(F.collect_list("signature").alias("prints"))
+    common = checkpointed(common.mapInArrow(_common, "band bigint, common binary"))
+    with_print = checkpointed(join_unique(open_.select("band", "sid"), signed, "sid"))
+    agreed = join_unique(with_print, common, "band").select("band", "sid", "signature", "common").mapInArrow(_agreement, "band bigint, sid bigint, agree bigint")
+    most = Window.partitionBy("band").orderBy(F.desc("agree"), "sid")
+    best = checkpointed(agreed.withColumn("nth", F.row_number().over(most)).filter(F.col("nth") <= MEET))
+    parts = open_.select("sid", "part").distinct()
+    return best.join(parts, "sid").groupBy("band").agg(F.collect_list(F.struct("part", "sid")).alias("hubs"))
+
+
+def _rest(open_: DataFrame, sets: DataFrame, documents: DataFrame) -> DataFrame:
+    """Links (a, b) of what lies outside the main component of a band with all of the band."""
+    counts = open_.groupBy("band", "part").agg(F.count("*").alias("n"))
+    main = checkpointed(counts.groupBy("band").agg(F.max(F.struct("n", F.col("part").alias("part"))).alias("main")).select("band", F.col("main.part").alias("main")))
+    rows = checkpointed(join_unique(open_, main, "band").select("band", "sid", "part", (F.col("part") == F.col("main")).alias("main")))
+    tokens = _sets_of(rows.select("sid").distinct(), documents)
+    weight = tokens.select("sid", F.octet_length("tokens").alias("bytes"))
+    sized = checkpointed(join_unique(rows, weight, "sid"))
+    cut = lambda size: F.greatest(F.lit(1), F.ceil(size / BLOCK_BYTES)).cast("int")
+    cuts = checkpointed(sized.groupBy("band").agg(
+        cut(F.sum("bytes")).alias("all"), cut(F.sum(F.when(~F.col("main"), F.col("bytes")).otherwise(0))).alias("few")
+    ))
+    dealt = checkpointed(join_unique(sized.drop("bytes"), cuts, "band"))
+    every = lambda n: F.explode(F.expr(f"sequence(0, {n} - 1)"))
+    own = lambda n: F.pmod(F.xxhash64("sid"), F.col(n)).cast("int")
+    names = ["band", "low", "high", "asks", "sid", "part", "main"]
+    asking = dealt.filter("NOT main").select("*", F.lit(True).alias("asks"), own("few").alias("low"), every("all").alias("high")).select(*names)
+    asked = dealt.select("*", F.lit(False).alias("asks"), own("all").alias("high"), every("few").alias("low")).select(*names)
+    whole = sets.select("sid", "signature", "bands").join(tokens, "sid")
+    both = join_unique(checkpointed(asking.unionByName(asked)), whole, "sid").select(*names, "signature", "bands", "tokens")
+    # tasks are small in rows but heavy in work
+    parts = parts_for(open_.sparkSession, 1, 1)
+    return both.repartition(parts, "band", "low", "high").sortWithinPartitions("band", "low", "high", F.desc("asks")).mapInArrow(_across, "a bigint, b bigint")
 
 
 def _components(sets: DataFrame, documents: DataFrame) -> DataFrame:
@@ -229,26 +317,17 @@ def _components(sets: DataFrame, documents: DataFrame) -> DataFrame:
     shared = checkpointed(join_unique(listed, buckets, "band").select("band", "sid", "hub", "many"))
     links = checkpointed(_confirmed(shared.filter("sid <> hub").select("hub", "sid").distinct(), sets, documents))
     components = connected_components(links)
-    shared, turn = shared.filter("many > 2").select("band", "sid"), 0  # bands of two are settled
-    while True:
-        turn += 1
-        open_ = _apart(shared, components)
-        if open_.isEmpty():
-            return components
-        shared = open_.select("band", "sid")  # bands that have come together are done
-        found = checkpointed(_confirmed(_to_meet(open_, components, turn), sets, documents))
-        many = found.count()
-        if many:
-            links = checkpointed(links.unionByName(found))
-            components = connected_components(links)
-        if many * 10 <= links.count():
-            break
-    open_ = _apart(shared, components)
-    near = _blocks(open_, sets).repartition("band", "low", "high").sortWithinPartitions("band", "low", "high")
-    near = checkpointed(near.mapInArrow(_across, "hub bigint, sid bigint").distinct())
-    if near.isEmpty():
+    open_ = _apart(shared.filter("many > 2").select("band", "sid"), components)  # bands of two are settled
+    if open_.isEmpty():
+        return components
+    found = checkpointed(_confirmed(_meetings(open_, _most_common(open_, sets)), sets, documents))
+    links = checkpointed(links.unionByName(found))
+    components = connected_components(links)
+    open_ = _apart(open_.select("band", "sid"), components)
+    if open_.isEmpty():
         return components
-    return connected_components(links.unionByName(_confirmed(near, sets, documents)))
+    found = checkpointed(_rest(open_, sets, documents))
+    return components if found.isEmpty() else connected_components(links.unionByName(found))
 
 
 def minhash_duplicates(docs: DataFrame) -> DataFrame:
@@ -260,7 +339,7 @@ def minhash_duplicates(docs: DataFrame) -> DataFrame:
     a component unless all of it is null. Rows that repeat as a whole fall into
     one class and share ``kept``. Columns other than ``doc_id`` and ``text`` play
     no part; an empty table gives an empty result. Texts of any length count whole;
-    a task holds one set at a time, 2,048 of their signatures at most.
+    a task holds one set at a time, or where bands stay apart sets of 64 MB.
     """
     spark = docs.sparkSession
     with scratch(spark) as keep:

@@ -90,10 +90,28 @@ def test_phrases_do_not_depend_on_chunks(spark, monkeypatch):
             assert counts[tuple(phrase.split(" "))] == a
 
 
+def test_positions_survive_packing():
+    chance = np.random.default_rng(4)
+    lists = [np.unique(chance.integers(0, 1 << int(chance.integers(1, 31)), chance.integers(1, 40))) for _ in range(500)]
+    first = np.r_[0, np.cumsum([len(x) for x in lists])[:-1]]
+    packed = C.pack(np.concatenate(lists), first)
+    at, counts = C.unpack(packed)
+    assert [x.tolist() for x in np.split(at, np.cumsum(counts)[:-1])] == [x.tolist() for x in lists]
+    some, counts = C.unpack(packed.slice(100, 50))
+    assert some.tolist() == np.concatenate(lists[100:150]).tolist() and counts.tolist() == [len(x) for x in lists[100:150]]
+    assert [len(x) for x in C.unpack(C.pack(np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)))] == [0, 0]
+
+
 def test_phrases_of_an_empty_table(spark):
     assert mined(spark.createDataFrame([], DOCS)) == []
 
 
+def test_phrases_with_many_frequent_groups(spark, monkeypatch):
+    monkeypatch.setattr(C, "BROADCAST_GROUPS", 0)
+    rows = [(i, "one two three. four five " * 9, "en", None, 0) for i in range(20)]
+    assert mined(spark.createDataFrame(rows, DOCS)) == phrases_by_hand([(r[1], r[2]) for r in rows])
+
+
 def test_best_phrases_only(spark):
     rows = [(i, " ".join(f"w{j} v{j}." for j in range(20)), "en", None, 0) for i in range(30)]
     found = mined(spark.createDataFrame(rows, DOCS), best=3)
@@ -232,7 +250,7 @@ def test_classes_where_hubs_settle_nothing(spark, monkeypatch):
         text[chance.randrange(60)] = f"n{i}"
         rows.append((i, " ".join(text)))
     monkeypatch.setattr(H, "MEET", 1)
-    monkeypatch.setattr(H, "BLOCK", 4)
+    monkeypatch.setattr(H, "BLOCK_BYTES", 2000)
     assert classed(spark.createDataFrame(rows, "doc_id bigint, text string")) == classes_by_hand(rows)
 
 
