@@ -36,8 +36,13 @@ def replay(windowed: DataFrame, length: str, max_attempts: int = MAX_ATTEMPTS, u
     """
     fresh = checkpointed(dedupe(windowed).select(*_COLUMNS))
     step = F.expr(f"INTERVAL {length}")
-    # a record is in a window once, so no group outgrows the table
-    bounds = {"most_rows": fresh.count(), **bounds}
+    # A record is in a window once on each side, and returns to at most so many windows after its own:
+    # no group outgrows the table, nor that many times the largest group of fresh records.
+    sizes = fresh.groupBy(*GROUP).agg(F.count("*").alias("rows"), F.min("attempts").alias("attempts")).agg(
+        F.sum("rows").alias("all"), F.max("rows").alias("most"), F.min("attempts").alias("attempts")
+    ).first()
+    windows = max(1, max_attempts - min(0, sizes["attempts"] or 0))
+    bounds = {"most_rows": min(sizes["all"] or 0, 2 * windows * (sizes["most"] or 0)), **bounds}
 
     def passed_on(records: DataFrame) -> DataFrame:
         again = next_window(attempt(records, max_attempts, **bounds).retries, length)
