@@ -13,6 +13,7 @@ from aidmatch.schemas import (
     UNMATCHED_VOLUNTEERS,
     VOLUNTEER_FIELDS,
 )
+from aidmatch.workspace import checkpointed
 
 
 def matches(outcomes: DataFrame) -> DataFrame:
@@ -141,29 +142,29 @@ def outcome_counts(df: DataFrame, outcomes: DataFrame, max_attempts: int = MAX_A
     sizes = group_sizes(dedupe(df))
     urgency = F.coalesce(F.col("help.nivel_urgencia"), F.lit(0))
     order = F.struct((-urgency).alias("first"), F.col("help.ts").alias("ts"), F.col("help.id").alias("id"), F.col("help.rec_key").alias("rec_key"))
+    # what tells the kind of an outcome, written once for the groups and the rows
+    kinds = checkpointed(outcomes.select(
+        *GROUP,
+        F.col("help").isNotNull().alias("asked"),
+        F.col("distance").isNull().alias("left"),
+        F.when(F.col("help").isNotNull(), order).alias("order"),
+        (F.coalesce("help.attempts", "volunteer.attempts", F.lit(0)) + 1 >= max_attempts).alias("terminal"),
+        F.coalesce("help.nivel_urgencia", "volunteer.nivel_urgencia").alias("nivel_urgencia"),
+        F.coalesce("help.radio_disponible_km", "volunteer.radio_disponible_km").alias("radio_disponible_km"),
+    ))
     # A request that comes after the match of the group's last volunteer found the pool empty.
-    groups = outcomes.groupBy(*GROUP).agg(
-        F.count("distance").alias("taken"), F.max(F.when(F.col("distance").isNotNull(), order)).alias("last")
+    groups = kinds.groupBy(*GROUP).agg(
+        F.count_if(~F.col("left")).alias("taken"), F.max(F.when(~F.col("left"), F.col("order"))).alias("last")
     )
-    reasons = (
-        outcomes.select(*GROUP, "help", "distance", order.alias("order"), F.coalesce("help", "volunteer").alias("r"))
-        .join(groups.join(sizes, GROUP), GROUP)
-        .select(
-            F.when(F.col("distance").isNotNull(), "matched")
-            .when(F.col("help").isNotNull() & (F.col("volunteers") == 0), "help_no_volunteers")
-            .when(
-                F.col("help").isNotNull() & (F.col("taken") == F.col("volunteers")) & (F.col("order") > F.col("last")),
-                "help_pool_empty",
-            )
-            .when(F.col("help").isNotNull(), "help_no_match")
-            .when(F.col("helps") == 0, "volunteer_no_requests")
-            .otherwise("volunteer_no_match")
-            .alias("outcome"),
-            F.col("distance").isNull().alias("left"),
-            (F.coalesce("r.attempts", F.lit(0)) + 1 >= max_attempts).alias("terminal"),
-            F.col("r.nivel_urgencia").alias("nivel_urgencia"),
-            F.col("r.radio_disponible_km").alias("radio_disponible_km"),
-        )
+    reasons = kinds.join(groups.join(sizes, GROUP), GROUP).select(
+        F.when(~F.col("left"), "matched")
+        .when(F.col("asked") & (F.col("volunteers") == 0), "help_no_volunteers")
+        .when(F.col("asked") & (F.col("taken") == F.col("volunteers")) & (F.col("order") > F.col("last")), "help_pool_empty")
+        .when(F.col("asked"), "help_no_match")
+        .when(F.col("helps") == 0, "volunteer_no_requests")
+        .otherwise("volunteer_no_match")
+        .alias("outcome"),
+        "left", "terminal", "nivel_urgencia", "radio_disponible_km",
     )
     dead = F.col("left") & F.col("terminal")
     outcome = F.array_compact(
