@@ -1,5 +1,7 @@
 """Groups too large for one row that one task solves."""
 
+from datetime import timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -54,3 +56,28 @@ def test_records_without_place_or_group_stay(spark):
     got = assign(frame(spark, rows), **TASKS).collect()
     assert sorted((r.help or r.volunteer).id for r in got) == ["a", "b", "s", "t", "u", "v"]
     assert all(r.distance is None for r in got)
+
+
+def test_groups_with_many_pairs_a_record_keep_no_lists_of_pairs(spark):
+    """What a task sorts is its records, once; lists of pairs and tables of whole records would grow faster or spill."""
+    rows = [need(f"h{i}", at=i % 60) for i in range(200)] + [offer(f"v{i}", radius=5, at=i % 60) for i in range(190)]
+    plan = assign(frame(spark, rows))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and plan.count("Sort ") == 1
+    assert not any(step in plan for step in ("Aggregate", "Window", "Join"))
+
+
+def test_repeats_in_a_task(spark):
+    """The earliest arrival of a record stays, one without a time only where there is no other."""
+    later = timedelta(seconds=30)
+    rows = [need("a", at=40), need("a", at=10), need("b", at=20), offer("v", at=5), offer("v", at=1), offer("u", at=3, lat=0.0)]
+    rows += [rows[-1] | {"lat": -0.0}, need("c") | {"ts": None}, need("c", at=50), rows[0] | {"is_help": False, "radio_disponible_km": None}]
+    rows += [need("d", at=2, w=10), need("d", at=1, w=10) | {"ts": None}, offer("x", at=9, w=10), offer("x", at=8, w=10)]
+    rows += [r | {"ts": r["ts"] + later} for r in rows if r["ts"]]
+
+    def found(**bounds):
+        out = assign(frame(spark, rows), **bounds).select(
+            "w", "help.id", "help.ts", "help.lat", "volunteer.id", "volunteer.ts", "volunteer.lat", F.round("distance", 6)
+        )
+        return sorted(out.collect(), key=str)
+
+    assert found(**TASKS) == found() and str(found(**TASKS)).count("id='") == 8
