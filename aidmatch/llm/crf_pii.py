@@ -5,24 +5,23 @@ numbers. The model adds what has no fixed pattern: local phone numbers, written
 out addresses, identity numbers, names after a title. It labels tokens from
 their shapes and those of their neighbours, is trained here from a small
 labelled table by gradient ascent on the likelihood (forward-backward), and is
-decoded by Viterbi over batches of token runs in numpy.
-
-Only tokens near a trigger (a digit, an at sign, a title, a cue word) can take a
-label: everything else has label O by the model's constraint, so only the runs of
-words around triggers, ``REACH`` each way, need decoding. Runs that touch are one,
-tokens see their true neighbours in the text, and a run stands between the O's
-around it: the result is that of decoding the whole text under the constraint.
-Texts are never cut short.
+decoded by Viterbi over batches of whole texts in numpy.
+
+Every token of every text is labelled: texts are never cut short, and nothing but
+the model decides where it looks. Tokens, features and Viterbi steps are numpy
+operations over many texts at once, with the weights of features in tables by the
+shapes of neighbours.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from aidmatch.llm.common import whole_text
@@ -32,10 +31,10 @@ BASE = ["email", "ip", "card", "phone"]
 #: Labels of the model and the names of their spans.
 KINDS = {"phone": "crf_phone", "mail": "crf_mail", "id": "crf_id", "name": "crf_name"}
 LABELS = ["O", *(f"{at}-{kind}" for kind in KINDS for at in "BI")]
-REACH = 4
 STEPS = 200
 PENALTY = 0.05
-BATCH = 256
+#: Code points that are decoded at once; a longer text is decoded alone.
+BATCH = 1 << 22
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
@@ -44,15 +43,11 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DIGIT = re.compile("[0-9]")
 _TOKEN = re.compile(r"[^\W\d_]+|[0-9]+|[^\w\s]|_")
-#: Titles and cue words of the table; they trigger the model and are features of their own.
+#: Titles and cue words of the table; they are features of their own.
 CUES = frozenset(
     "mr mrs ms dr herr frau mme sr sra m ssn security number dni nie iban passport ausweis tel telefon telefono phone call ring "
     "mobile handy fax llame mail email write contact reach at dot arroba punto nr no".split()
 )
-_TRIGGER = re.compile(
-    r"[0-9]+|@|(?<![^\W_])(?:Mr|Mrs|Ms|Dr|Herr|Frau|Mme|Sr|Sra|M\.|SSN|DNI|NIE|IBAN|arroba|dot|punto)(?![^\W_])|[(\[]at[)\]]", re.IGNORECASE
-)
-_GAP = re.compile(r"\s+")
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -155,39 +150,43 @@ class Crf:
         return self.emit[[[self.names.get(f, 0) for f in row] for row in features]].sum(axis=1)
 
     def decode(self, runs: list[np.ndarray]) -> list[np.ndarray]:
-        """The best labels of every run of token scores, batches of similar length at once."""
-        best: list[np.ndarray] = [np.empty(0, dtype=np.int64)] * len(runs)
-        order = sorted(range(len(runs)), key=lambda i: len(runs[i]))
-        for at in range(0, len(order), BATCH):
-            some = order[at:at + BATCH]
-            lengths = np.array([len(runs[i]) for i in some])
-            longest = int(lengths.max())
-            scores = np.zeros((longest, len(some), len(LABELS)))
-            for k, i in enumerate(some):
-                scores[:lengths[k], k] = runs[i]
-            back = np.zeros((longest, len(some), len(LABELS)), dtype=np.int8)
-            state = scores[0] + _START
-            ends = np.where((lengths == 1)[:, None], state, 0)
-            for t in range(1, longest):
-                ways = state[:, :, None] + self.move
-                back[t] = ways.argmax(axis=1)
-                state = ways.max(axis=1) + scores[t]
-                ends = np.where((lengths == t + 1)[:, None], state, ends)
-            label = ends.argmax(axis=1)
-            path = np.zeros((longest, len(some)), dtype=np.int64)
-            for t in range(longest - 1, -1, -1):
-                last = lengths - 1 == t
-                if t < longest - 1:
-                    label = np.where(lengths - 1 > t, back[t + 1][np.arange(len(some)), path[t + 1]], label)
-                path[t] = np.where(last | (lengths - 1 > t), label, 0)
-            for k, i in enumerate(some):
-                best[i] = path[:lengths[k], k]
-        return best
+        """The best labels of every run of token scores."""
+        lengths = np.array([len(run) for run in runs], dtype=np.int64)
+        labels = self.decode_all(np.concatenate([*runs, np.empty((0, len(LABELS)))]), lengths)
+        return np.split(labels, np.cumsum(lengths)[:-1])
+
+    def decode_all(self, scores: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """The best labels of runs of so many tokens, one run after the other in ``scores``, which are used up.
+
+        A step is one token of each run that is that long; the way back finds the best label before
+        the chosen one anew, so only the best sums are kept, in place of the scores.
+        """
+        order = np.argsort(-lengths, kind="stable")
+        first, many = (np.cumsum(lengths) - lengths)[order], lengths[order]
+        longest = int(many.max(initial=0))
+        active = np.searchsorted(-many, -np.arange(longest), side="left")  # runs of more than t tokens
+        at = first[:active[0]] if longest else first[:0]
+        scores[at] += _START
+        move = np.ascontiguousarray(self.move)[:, :, None]
+        state = scores[at].T
+        for t in range(1, longest):
+            at = first[:active[t]] + t
+            state = (state[:, None, :active[t]] + move).max(axis=0) + scores[at].T
+            scores[at] = state.T
+        labels = np.zeros(len(scores), dtype=np.int64)
+        ends = first[many > 0] + many[many > 0] - 1
+        labels[ends] = scores[ends].argmax(axis=1)
+        into = np.ascontiguousarray(self.move.T)
+        for t in range(longest - 1, 0, -1):
+            at = first[:active[t]] + t
+            labels[at - 1] = (scores[at - 1] + into[labels[at]]).argmax(axis=1)
+        return labels
 
 
 #: An I label follows a B or I of its kind only.
 _ALLOWED = np.array([[b[0] != "I" or (a != "O" and a[2:] == b[2:]) for b in LABELS] for a in LABELS])
-_START = np.where([b[0] == "I" for b in LABELS], -1e9, 0.0)
+_INSIDE = np.array([b[0] == "I" for b in LABELS])
+_START = np.where(_INSIDE, -1e9, 0.0)
 
 
 def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
@@ -210,6 +209,11 @@ def train(rows: list[str] = LABELLED, steps: int = STEPS) -> Crf:
     for i, (features, labels) in enumerate(parsed):
         index[i, :len(labels)] = [[names[f] for f in row] for row in features]
         gold[i, :len(labels)], there[i, :len(labels)] = labels, True
+    # the tokens of each feature, side by side
+    uses = index[there].ravel()
+    by_name = np.argsort(uses, kind="stable")
+    users, begins = by_name // width, np.flatnonzero(np.diff(uses[by_name], prepend=-1))
+    used = uses[by_name][begins]
     emit, move = np.zeros((len(names), kinds)), np.where(_ALLOWED, 0.0, -1e9)
     grown = [np.zeros_like(emit), np.zeros_like(move)]
     for step in range(steps):
@@ -227,7 +231,7 @@ def train(rows: list[str] = LABELLED, steps: int = STEPS) -> Crf:
         chance = np.exp(ahead + behind - total[None, :, None]).transpose(1, 0, 2) * there[:, :, None]
         error = np.eye(kinds)[gold] * there[:, :, None] - chance
         up_emit = np.zeros_like(emit)
-        np.add.at(up_emit, index, np.broadcast_to(error[:, :, None, :], (*index.shape, kinds)))
+        up_emit[used] = np.add.reduceat(error[there][users], begins, axis=0)
         up_move = np.zeros_like(move)
         for t in range(1, longest):
             on = there[:, t]
@@ -241,48 +245,165 @@ def train(rows: list[str] = LABELLED, steps: int = STEPS) -> Crf:
     return Crf(names, emit, move)
 
 
-#: Scores of a token that is O.
-_OUTSIDE = np.where(np.arange(len(LABELS)) == 0, 0.0, -1e9)[None]
-
-
 def _reaches(text: str) -> list[tuple[int, int]]:
-    """The parts of a text in reach of triggers, with a token between any two."""
-    trigger = _TRIGGER.search(text)
-    if not trigger:
-        return []
-    gaps = [m.span() for m in _GAP.finditer(text)]
-    starts, ends = [a for a, _ in gaps], [b for _, b in gaps]
-    found: list[tuple[int, int]] = []
-    for m in _TRIGGER.finditer(text, trigger.start()):
-        first, last = bisect_right(ends, m.start()) - REACH, bisect_right(starts, m.end()) + REACH - 1
-        low, high = ends[first] if first >= 0 else 0, starts[last] if last < len(starts) else len(text)
-        if found and (low <= found[-1][1] or not _TOKEN.search(text, found[-1][1], low)):
-            found[-1] = found[-1][0], max(high, found[-1][1])
-        else:
-            found.append((low, high))
-    return found
-
-
-def _runs(text: str) -> list[tuple[list[tuple[int, int]], list[list[str]], int, int]]:
-    """Tokens in reach of triggers, as runs of places and features, with how many tokens (0 or 1) go on before and after."""
-    runs = []
-    for low, high in _reaches(text):
-        before: list[tuple[int, int]] = []
-        width = 64
-        while low:
-            # two tokens of context; what a cut leaves of the first token of several does not count
-            start = max(0, low - width)
-            before = _tokens(text, start, low)[0]
-            if not start or len(before) > 2:
-                break
-            width *= 4
-        after = _TOKEN.search(text, high)
-        places, tokens, gaps = _tokens(text, before[-2:][0][0] if before else low, after.end() if after else high)
-        many, more = len(before[-2:]), int(after is not None)
-        last = len(places) - more
-        if last > many:
-            runs.append((places[many:last], _features(tokens, gaps)[many:last], min(many, 1), more))
-    return runs
+    """The parts of a text that the model labels: all of it."""
+    return [(0, len(text))]
+
+
+_LETTER, _NUMBER, _SIGN = 1, 2, 3
+#: What a letter can be besides: upper case, lower or title case, not of an alphabet.
+_UPPER, _LOWER, _OTHER = 1, 2, 4
+_MOST = max(map(len, CUES))
+
+
+@lru_cache
+def _characters() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """By code point: the kind of token, what a letter can be, and its place among the small letters a to z, 0 for none."""
+    every = "".join(map(chr, range(0x110000)))
+    kind, case, small = (np.zeros(len(every), dtype=np.uint8) for _ in range(3))
+    kind[ord("0"):ord("9") + 1] = _NUMBER
+    for m in re.finditer(r"(?:[^\w\s]|_)+", every):
+        kind[m.start():m.end()] = _SIGN
+    for m in re.finditer(r"[^\W\d_]+", every):
+        kind[m.start():m.end()] = _LETTER
+        for at in range(*m.span()):
+            c = every[at]
+            case[at] = _UPPER * c.isupper() | _LOWER * (c.islower() or (c.istitle() and not c.isupper())) | _OTHER * (not c.isalpha())
+            if "a" <= c.lower() <= "z" and len(c.lower()) == 1:
+                small[at] = ord(c.lower()) - ord("a") + 1
+    return kind, case, small
+
+
+def _cue_code(word: str) -> int:
+    return sum(ord(c) - ord("a") + 1 << 5 * i for i, c in enumerate(word))
+
+
+class Tables:
+    """The weights of a model by numbers of shapes and cue words instead of names."""
+
+    def __init__(self, model: Crf):
+        named = {kind: {} for kind in ("s0", "s-", "s+", "s-0", "s0+", "s--", "s-0+", "w0", "w-", "w--", "w+", "g")}
+        for name, at in model.names.items():
+            kind, is_, value = name.partition("=")
+            if is_ and at:
+                named[kind][value] = model.emit[at]
+        bias = model.emit[model.names["bias"]]
+        # number 0 is a shape that training has not seen
+        self.shapes = {s: i for i, s in enumerate(sorted({*named["s0"], *named["s-"], *named["s+"], "^", "$"}), 1)}
+        self.cues = {w: i for i, w in enumerate(["", "^", "$", *sorted(CUES)])}
+        many, kinds = len(self.shapes) + 1, len(LABELS)
+        glued = {"False": 0, "True": 1}
+
+        def table(kind: str, *numbers: dict[str, int]) -> np.ndarray:
+            out = np.zeros((*(many if n is self.shapes else len(n) for n in numbers), kinds))
+            for value, weights in named[kind].items():
+                parts = _bars(value, len(numbers))
+                if all(p in n for p, n in zip(parts, numbers)):
+                    out[tuple(n[p] for p, n in zip(parts, numbers))] = weights
+            return out
+
+        one = self.shapes
+        here, before, after = (table(k, one) for k in ("s0", "s-", "s+"))
+        # by the shape before, that of the token, that after, and whether they stick together
+        self.near = (
+            bias + before[:, None, None, None, None] + here[None, :, None, None, None] + after[None, None, :, None, None]
+            + table("s-0+", one, one, one)[:, :, :, None, None] + table("s-0", one, one, glued)[:, :, None, :, None]
+            + table("s0+", one, one, glued)[None, :, :, None, :] + table("g", glued, glued)[None, None, None]
+        ).reshape(-1, kinds)
+        self.far = table("s--", one, one).reshape(-1, kinds)
+        self.word = [table(k, self.cues) for k in ("w0", "w-", "w--", "w+")]
+        self.sign = np.zeros(0x110000, dtype=np.int64)
+        for s, i in self.shapes.items():
+            if len(s) == 1 and _characters()[0][ord(s)] == _SIGN:
+                self.sign[ord(s)] = i
+        for edge in "^$":
+            self.sign[ord(edge)] = self.shapes[edge]
+        shape = lambda s: self.shapes.get(s, 0)
+        self.numbers = np.array([0, *(shape(f"d{n}") for n in range(1, 10))])
+        self.letters = np.array([[shape(f), shape(f"{f}1")] for f in ("a", "Aa", "A")])
+        codes = {_cue_code(w): self.cues[w] for w in CUES}
+        self.codes = np.array(sorted(codes))
+        self.of_code = np.array([codes[c] for c in self.codes.tolist()])
+
+    def tokens(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Starts and ends of the tokens of all texts, places in them, the number of tokens in each, and the scores of the tokens."""
+        kinds, cases, small = _characters()
+        joined = "\n".join(texts)  # no token holds a line end
+        points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        kind = kinds[points]
+        single, new = kind == _SIGN, np.ones(len(kind) + 1, dtype=bool)
+        new[1:-1] = kind[1:] != kind[:-1]
+        starts = np.flatnonzero((kind > 0) & (single | new[:-1]))
+        ends = np.flatnonzero((kind > 0) & (single | new[1:])) + 1
+        begins = np.cumsum([0, *(len(t) + 1 for t in texts)])[:-1]
+        first = np.searchsorted(starts, begins)
+        lengths = np.diff(np.r_[first, len(starts)])
+        size, kind = ends - starts, kind[starts]
+        lead = points[starts]
+
+        shape, cue = np.zeros(len(starts), dtype=np.int64), np.zeros(len(starts), dtype=np.int64)
+        some = kind == _SIGN
+        shape[some] = self.sign[lead[some]]
+        some = kind == _NUMBER
+        shape[some] = self.numbers[np.minimum(size[some], 9)]
+        some = np.flatnonzero(kind == _LETTER)
+        if len(some):
+            case = cases[points]
+            # letters of a token lie between its start and the next one's, where all else has no case
+            held = np.bitwise_or.reduceat(case, starts)[some]
+            form = np.where(held & (_UPPER | _LOWER) == _UPPER, 2, (case[starts[some]] & _UPPER > 0).astype(np.int64))
+            shape[some] = self.letters[form, (size[some] == 1).astype(np.int64)]
+            for i in some[held & _OTHER > 0].tolist():
+                shape[i] = self.shapes.get(_shape(joined[starts[i]:ends[i]]), 0)
+            some = some[size[some] <= _MOST]
+            code = np.zeros(len(some), dtype=np.int64)
+            left = np.arange(len(some))
+            for nth in range(_MOST):
+                left = left[size[some[left]] > nth]
+                letter = small[points[starts[some[left]] + nth]].astype(np.int64)
+                code[left] += letter << 5 * nth
+                code[left[letter == 0]] = -1
+                left = left[letter > 0]
+            at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
+            cue[some] = np.where(self.codes[at] == code, self.of_code[at], 0)
+
+        there = lengths > 0
+        opening, closing = first[there], first[there] + lengths[there] - 1
+
+        def beside(of: np.ndarray, start: int, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            """What is one before, two before and one after each token, in its text."""
+            one = np.r_[start, of[:-1]][:len(of)]
+            one[opening] = start
+            two = np.r_[start, one[:-1]][:len(of)]
+            two[opening] = start
+            after = np.r_[of[1:], end][:len(of)]
+            after[closing] = end
+            return one, two, after
+
+        before, before2, after = beside(shape, self.shapes["^"], self.shapes["$"])
+        sticks = np.ones(len(starts) + 1, dtype=np.int64)
+        sticks[1:-1] = starts[1:] == ends[:-1]
+        sticks[opening] = 1
+        behind = sticks[1:].copy()
+        behind[closing] = 1
+        many = len(self.shapes) + 1
+        scores = self.near[(((before * many + shape) * many + after) * 2 + sticks[:-1]) * 2 + behind]
+        scores += self.far[before2 * many + before]
+        w1, w2, w_after = beside(cue, self.cues["^"], self.cues["$"])
+        scores += sum(t[0] for t in self.word)
+        said = np.flatnonzero(cue | w1 | w2 | w_after)
+        scores[said] += sum(t[w[said]] - t[0] for t, w in zip(self.word, (cue, w1, w2, w_after)))
+        base = np.repeat(begins, lengths)
+        return starts - base, ends - base, lengths, scores
+
+
+def _bars(value: str, many: int) -> list[str]:
+    """The values that a feature's name joins by bars; the only one that holds a bar is a bar."""
+    parts = []
+    for _ in range(many - 1):
+        part, value = ("|", value[2:]) if value.startswith("||") else value.split("|", 1)
+        parts.append(part)
+    return [*parts, value]
 
 
 def find_personal_data(docs: DataFrame, text: str = "text", labelled: list[str] = LABELLED) -> DataFrame:
@@ -299,35 +420,29 @@ def find_personal_data(docs: DataFrame, text: str = "text", labelled: list[str]
     added = list(KINDS.values())
     kind_of = [None, *(k for k in range(len(KINDS)) for _ in "BI")]
 
-    def model_spans(texts: list[str], taken: list[list[list[tuple[int, int]]]]) -> list[list[list[tuple[int, int]]]]:
+    def model_spans(tables: Tables, texts: list[str], taken: list[list[list[tuple[int, int]]]]) -> list[list[list[tuple[int, int]]]]:
         found = [[[] for _ in added] for _ in texts]
-        where, scores = [], []
-        for row, one in enumerate(texts):
-            for places, features, before, after in _runs(one):
-                where.append((row, places, before))
-                scores.append(np.concatenate([_OUTSIDE] * before + [model.scores(features)] + [_OUTSIDE] * after))
-        for (row, places, before), labels in zip(where, model.decode(scores)):
-            labels, nth = labels[before:before + len(places)], 0
-            while nth < len(labels):
-                kind = kind_of[labels[nth]]
-                first = nth
-                nth += 1
-                if kind is None:
-                    continue
-                while nth < len(labels) and LABELS[labels[nth]][0] == "I":
-                    nth += 1
-                low, high = places[first][0], places[nth - 1][1]
-                if not any(a < high and low < b for spans in taken[row] for a, b in spans):
-                    found[row][kind].append((low, high))
+        starts, ends, lengths, scores = tables.tokens(texts)
+        labels = model.decode_all(scores, lengths)
+        owner = np.repeat(np.arange(len(texts)), lengths)
+        # a span is a B label and the I labels after it
+        opens = np.flatnonzero((labels > 0) & ~_INSIDE[labels])
+        closes = np.flatnonzero((labels > 0) & ~np.r_[_INSIDE[labels[1:]], False][:len(labels)])
+        for row, label, low, high in zip(*(x.tolist() for x in (owner[opens], labels[opens], starts[opens], ends[closes]))):
+            if not any(a < high and low < b for spans in taken[row] for a, b in spans):
+                found[row][kind_of[label]].append((low, high))
         return found
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = Tables(model)
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            held = np.cumsum(pc.utf8_length(batch.column(1)).to_numpy()) // BATCH
+            cuts = [0, *(np.flatnonzero(np.diff(held)) + 1).tolist(), batch.num_rows]
+            for low, high in zip(cuts, cuts[1:]):
+                part = batch.slice(low, high - low)
                 texts = part.column(1).to_pylist()
                 base = [base_spans(t) for t in texts]
-                more = model_spans(texts, base)
+                more = model_spans(tables, texts, base)
                 first = [[f"{k}:{a}:{b}" for k, spans in zip(BASE, one) for a, b in spans] for one in base]
                 rest = [[f"{k}:{a}:{b}" for k, spans in zip(added, one) for a, b in spans] for one in more]
                 yield pa.RecordBatch.from_arrays(

@@ -367,6 +367,17 @@ def test_personal_data_is_that_of_whole_texts(spark):
     assert all(_reaches(t) == [(0, len(t))] for t in short[2:])
 
 
+def test_personal_data_anywhere_in_a_text(spark):
+    """No digit, title or cue word has to be near, and running text without personal data stays alone."""
+    labelled = ["we met [name|Anna] today", "so [name|Peter] left us", "then [name|Maria] came in", "nobody came in today", "it was late then"]
+    text = "so it was late and nobody came " * 200 + "then Klara left " + "and it was late " * 200
+    rows = find_personal_data(spark.createDataFrame([(1, text), (2, "it was late"), (3, "")], "doc_id int, text string"), labelled=labelled).collect()
+    at = text.index("Klara")
+    assert {r.doc_id: r.spans for r in rows} == {1: f"crf_name:{at}:{at + 5}", 2: "", 3: ""}
+    prose = "The ship came in late. Nobody was at home, and the old house, they say, stood at the end of the road. " * 30
+    assert find_personal_data(spark.createDataFrame([(1, prose)], "doc_id int, text string")).first().spans == ""
+
+
 def test_toxicity(spark, docs, none, sf_dir):
     table = spark.read.parquet(sf_dir.replace("0.001", "0.1") + "/documents.parquet")
     labels = spark.read.parquet(sf_dir.replace("0.001", "0.1") + "/labels.parquet")
