@@ -176,7 +176,7 @@ def _extended(table: pa.Table) -> pa.Table:
 def _frequent(found: DataFrame, key: list[str], least: int) -> DataFrame:
     """The groups of occurrences that are frequent, each with a number of its own as ``id`` and its occurrences as ``a``."""
     counts = found.groupBy(*key).agg(F.sum("n").cast("bigint").alias("a")).filter(F.col("a") >= least)
-    return saved_with_row_id(counts).withColumnRenamed("row_id", "id")
+    return saved_with_row_id(counts, dense=True).withColumnRenamed("row_id", "id")
 
 
 def _semi_joined(found: DataFrame, groups: DataFrame, key: list[str]) -> DataFrame:
@@ -190,7 +190,7 @@ def mine(docs: DataFrame, longest: int = LONGEST, least: int = FREQUENT) -> tupl
     """(lang, k, phrase, a) of every frequent phrase of up to ``longest`` words, and (lang, n), the words of each language."""
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), whole_text().alias("text"))
     with scratch(docs.sparkSession) as keep:
-        found = checkpointed(texts.mapInArrow(_word_rows, "lang string, chunk bigint, word string, n int, at binary"))
+        found = checkpointed(texts.mapInArrow(_word_rows, "lang string, chunk bigint, word string, n int, at binary"), dense=True)
         words = keep(found.groupBy("lang").agg(F.sum("n").cast("bigint").alias("n")))
         key = ["lang", "word"]
         groups = _frequent(found, key, least)
@@ -198,7 +198,9 @@ def mine(docs: DataFrame, longest: int = LONGEST, least: int = FREQUENT) -> tupl
         every = [named]
         for k in range(2, longest + 1):
             relation = _semi_joined(found, groups, key)
-            longer = checkpointed(relation.groupBy("chunk").applyInArrow(_extended, "chunk bigint, head bigint, tail bigint, n int, at binary"))
+            longer = checkpointed(
+                relation.groupBy("chunk").applyInArrow(_extended, "chunk bigint, head bigint, tail bigint, n int, at binary"), dense=True
+            )
             discard(found)
             found, key = longer, ["head", "tail"]
             groups = _frequent(found, key, least)

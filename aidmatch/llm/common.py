@@ -20,14 +20,15 @@ def whole_text(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
-def saved_with_row_id(df: DataFrame) -> DataFrame:
+def saved_with_row_id(df: DataFrame, dense: bool = False) -> DataFrame:
     """Write ``df`` and add ``row_id``, a long that tells its rows apart.
 
     The id is the place of the row in the written files, so it stays the same
     when a later job or a repeated task reads the table again, and it tells
     identical rows apart. Spark numbers the files of a table by the writing task.
+    ``dense`` is that of :func:`checkpointed`.
     """
-    table = checkpointed(df)
+    table = checkpointed(df, dense)
     part = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("long")
     return table.select("*", (part * (1 << 36) + F.col("_metadata.row_index")).alias("row_id"))
 

@@ -1,5 +1,6 @@
 """Scratch tables and who removes them."""
 
+import time
 from pathlib import Path
 
 from aidmatch.workspace import checkpointed, discard, scratch
@@ -34,3 +35,26 @@ def test_one_file_per_task_whatever_the_session_says(spark):
         assert len(checkpointed(spark.range(100).coalesce(1)).inputFiles()) == 1
     finally:
         spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+
+
+def test_dense_tables_are_smaller_and_their_shuffles_go_at_once(spark):
+    """The mining of phrases writes its relations so: disk grew with what its finished steps had shuffled."""
+    def blocks():
+        return spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().size()
+
+    def size(df):
+        return sum(p.stat().st_size for p in _folder(df).glob("*.parquet"))
+
+    rows = spark.range(200_000).selectExpr("id % 1000 AS k", "id * 7919 % 100003 << 30 AS v").repartition(8, "k")
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    plain, setting = checkpointed(rows), spark.conf.get(cleanup, None)
+    dense = checkpointed(rows, dense=True)
+    assert size(dense) < 0.9 * size(plain)
+    assert dense.exceptAll(plain).isEmpty() and plain.exceptAll(dense).isEmpty()
+    before = blocks()
+    checkpointed(rows, dense=True)
+    until = time.time() + 20
+    while blocks() > before and time.time() < until:
+        time.sleep(0.2)
+    assert blocks() <= before
+    assert spark.conf.get(cleanup, None) == setting
