@@ -19,6 +19,7 @@ others that the test cannot rule out.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 from math import factorial
 
 import numpy as np
@@ -36,6 +37,7 @@ SAMPLE = 20_000
 CELL, BLOCK, LOT = 20_000, 20_000, 4_000
 LEAF = 64
 LEAVES_AT_ONCE = 8
+QUERIES_AT_ONCE = 512
 CELLS_AT_ONCE = 4096
 
 
@@ -45,6 +47,7 @@ def chi_square(x: np.ndarray) -> np.ndarray:
     return 1 - np.exp(-half) * sum(half**i / factorial(i) for i in range(PROJECTIONS // 2))
 
 
+@lru_cache(maxsize=4)
 def directions(dimension: int) -> np.ndarray:
     return np.random.default_rng(7).standard_normal((dimension + 1, PROJECTIONS))
 
@@ -93,35 +96,73 @@ def cell_of(points: np.ndarray, sides: np.ndarray, cuts: np.ndarray) -> np.ndarr
     return node - len(sides)
 
 
+def ruled_out(near: np.ndarray, gap: np.ndarray) -> np.ndarray:
+    """Whether what is at a squared projected distance of ``near`` or more can be left out; ``gap`` is infinite where too few are known."""
+    some = np.where(gap > 0, gap, 1)
+    return np.where(gap > 0, chi_square(near / some) >= CERTAIN, near > 0)
+
+
+def _first(k: int, query: np.ndarray, name: np.ndarray, score: np.ndarray, slack: np.ndarray) -> np.ndarray:
+    """Places of each query's ``k`` largest scores, ties to smaller names, and of what is behind the k-th by ``slack`` at most."""
+    order = np.lexsort((name, -score, query))
+    starts = np.searchsorted(query[order], np.arange(len(slack)))
+    nth = np.arange(len(order)) - starts[query[order]]
+    kth = np.full(len(slack), -np.inf)
+    kth[query[order[nth == k - 1]]] = score[order[nth == k - 1]]
+    return order[(nth < k) | (score[order] >= (kth - slack)[query[order]]) & (slack[query[order]] > 0)]
+
+
 def search_block(names: np.ndarray, vectors: np.ndarray, queries: pd.DataFrame, top: float, k: int) -> pd.DataFrame:
-    """Best candidates of a block for each query (query_id, vector, worst); ``worst`` is the k-th score known before."""
+    """Best candidates of a block for each query (query_id, vector, worst); ``worst`` is the k-th score known before.
+
+    Queries go side by side: in each round, which doubles the leaves met, a leaf is
+    multiplied with all queries that it is still open for. What may be among the
+    best is verified by sums that do not depend on the place of a vector.
+    """
     points = project(vectors, top, False)
     leaves = kd_leaves(points, LEAF)
     low = np.array([points[leaf].min(axis=0) for leaf in leaves])
     high = np.array([points[leaf].max(axis=0) for leaf in leaves])
-    wanted = np.stack(queries["vector"].to_numpy()).astype(np.float64)
+    held = [np.ascontiguousarray(vectors[leaf]) for leaf in leaves]
     out = []
-    for query, vector, at, known in zip(queries["query_id"], wanted, project(wanted, top, True), queries["worst"]):
-        away = np.maximum(np.maximum(low - at, at - high), 0)
-        near = (away**2).sum(axis=1)
-        order = np.argsort(near, kind="stable")
-        length = float(vector @ vector) + top
-        best_names, best = np.empty(0, dtype=np.int64), np.empty(0)
-        worst = -np.inf if pd.isna(known) else known
-        for step in range(0, len(order), LEAVES_AT_ONCE):
-            gap = length - 2 * worst
-            if np.isfinite(worst) and (gap <= 0 and near[order[step]] > 0 or gap > 0 and chi_square(near[order[step]] / gap) >= CERTAIN):
+    for start in range(0, len(queries), QUERIES_AT_ONCE):
+        some = queries.iloc[start:start + QUERIES_AT_ONCE]
+        own, wanted = some["query_id"].to_numpy(), np.stack(some["vector"].to_numpy()).astype(np.float64)
+        at = project(wanted, top, True)
+        near = sum(np.maximum(np.maximum(low[:, i] - at[:, i:i + 1], at[:, i:i + 1] - high[:, i]), 0) ** 2 for i in range(PROJECTIONS))
+        rank = near.argsort(axis=1, kind="stable").argsort(axis=1, kind="stable")
+        length = (wanted**2).sum(axis=1) + top
+        slack = 1e-15 * wanted.shape[1] * length  # more than the rounding of a product
+        worst = some["worst"].to_numpy(dtype=np.float64, na_value=np.nan)
+        worst = np.where(np.isnan(worst), -np.inf, worst)
+        best = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0)  # place of the query, name, score
+        done, last = 0, LEAVES_AT_ONCE
+        while done < len(leaves):
+            open_ = (rank >= done) & (rank < last) & ~ruled_out(near, (length - 2 * worst)[:, None])
+            bound = worst - slack
+            query, place, score = [], [], []
+            for nth in np.flatnonzero(open_.any(axis=0)):
+                asking = np.flatnonzero(open_[:, nth])
+                scores = wanted[asking] @ held[nth].T
+                i, j = np.nonzero(scores >= bound[asking, None])
+                query.append(asking[i]), place.append(leaves[nth][j]), score.append(scores[i, j])
+            if not query:
                 break
-            met = np.concatenate([leaves[i] for i in order[step:step + LEAVES_AT_ONCE]])
-            score = vectors[met] @ vector
-            fits = (score >= worst) & (names[met] != query)
-            best_names, best = np.r_[best_names, names[met[fits]]], np.r_[best, score[fits]]
-            if len(best) > k:
-                first = np.lexsort((best_names, -best))[:k]
-                best_names, best = best_names[first], best[first]
-            if len(best) == k:
-                worst = max(worst, best.min())
-        out.append(pd.DataFrame({"query_id": query, "vec_id": best_names, "score": best}))
+            query, place, score = map(np.concatenate, (query, place, score))
+            other = names[place] != own[query]
+            query, place, score = query[other], place[other], score[other]
+            kept = _first(k, query, names[place], score, slack)
+            query, place = query[kept], place[kept]
+            score = (vectors[place] * wanted[query]).sum(axis=1)
+            fits = score >= worst[query]
+            best = np.r_[best[0], query[fits]], np.r_[best[1], names[place[fits]]], np.r_[best[2], score[fits]]
+            kept = _first(k, *best, np.zeros(len(own)))
+            best = best[0][kept], best[1][kept], best[2][kept]
+            counts = np.bincount(best[0], minlength=len(own))
+            full = np.flatnonzero(counts == k)
+            worst[full] = np.maximum(worst[full], best[2][np.cumsum(counts)[full] - 1])
+            done, last = last, 2 * last
+        out.append(pd.DataFrame({"query_id": own[best[0]], "vec_id": best[1], "score": best[2]}))
     return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 
 
@@ -200,17 +241,21 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
 
     def open_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for query, vector, own, worst in zip(batch["query_id"], batch["vector"], batch["cell"], batch["worst"]):
-                at = project(vector[None], top, True)[0]
-                gap = np.inf if pd.isna(worst) else float(vector @ vector) + top - 2 * worst
+            for start in range(0, len(batch), QUERIES_AT_ONCE):
+                some = batch.iloc[start:start + QUERIES_AT_ONCE]
+                vectors = np.stack(some["vector"].to_numpy())
+                at, worst = project(vectors, top, True), some["worst"].to_numpy(dtype=np.float64, na_value=np.nan)
+                gap = np.where(np.isnan(worst), np.inf, (vectors**2).sum(axis=1) + top - 2 * worst)
                 for low in range(0, cells, CELLS_AT_ONCE):
-                    some = boxes[low:low + CELLS_AT_ONCE]
-                    away = (np.maximum(np.maximum(some[:, :, 0] - at, at - some[:, :, 1]), 0) ** 2).sum(axis=1)
-                    done = chi_square(away / gap) >= CERTAIN if gap > 0 else away > 0
-                    cell = np.flatnonzero(~done) + low
-                    cell = cell[cell != own]
-                    if len(cell):
-                        yield pd.DataFrame({"query_id": query, "vector": [vector] * len(cell), "cell": cell, "worst": worst})
+                    near = np.zeros((len(some), min(cells - low, CELLS_AT_ONCE)))
+                    for i in range(PROJECTIONS):
+                        box = boxes[low:low + CELLS_AT_ONCE, i]
+                        near += np.maximum(np.maximum(box[:, 0] - at[:, i:i + 1], at[:, i:i + 1] - box[:, 1]), 0) ** 2
+                    query, cell = np.nonzero(~ruled_out(near, gap[:, None]))
+                    other = cell + low != some["cell"].to_numpy()[query]
+                    yield some.iloc[query[other]][["query_id", "vector"]].assign(
+                        cell=cell[other] + low, worst=some["worst"].to_numpy()[query[other]]
+                    )
 
     further = asked.join(known, "query_id", "left").mapInPandas(
         open_cells, "query_id bigint, vector array<double>, cell bigint, worst double"
