@@ -1,20 +1,20 @@
 """Phrases that stand out, by relational mining of occurrences (SETM).
 
-A relation R_k holds every occurrence of a frequent phrase of k words, kept as rows
-(chunk, phrase, sorted positions as packed differences); a chunk is a bounded run of pieces of one
-language, and positions leave a gap where a piece ends. R_k and R_k are merged
-in the order of their positions: two phrases at adjacent positions of a piece make
-one of k + 1 words. The groups of the result are counted over all chunks, the result
-is semi-joined with the groups that are frequent, and goes on as R_(k+1).
-
-Merging needs one chunk at a time, counting adds up one number per phrase and
-chunk, so neither a frequent word nor a long or common text is ever one task's
-work. Where the table of frequent groups is small by its count, it is sent out for the
-semi-join, and both sides are shuffled where it is not.
+A relation R_k holds every occurrence of a frequent phrase of k words: by phrase and chunk, its
+sorted positions; a chunk is a bounded run of pieces of one language, and positions leave a gap
+where a piece ends. R_k and R_k are merged in the order of their positions: two phrases at adjacent
+positions of a piece make one of k + 1 words. The result is dealt out by phrase, the groups are
+counted, and occurrences of those that are frequent go on as R_(k+1).
+
+The phrases of a chunk that fall into one bucket travel in one row, as packed numbers. Merging needs
+one chunk at a time and counting one bucket at a time; both are of bounded size, but for the positions of
+very frequent phrases, a byte or two each, which pass through their bucket unread. What is not frequent is
+never written to a table.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aidmatch.llm.common import saved_with_row_id, whole_text
+from aidmatch.llm.common import whole_text
 from aidmatch.workspace import checkpointed, discard, scratch
 
 #: Words of the longest phrase, and the least number of its occurrences.
@@ -34,8 +34,10 @@ COVERED = 80
 BEST = 2000
 #: Bytes of text that make a chunk; a chunk ends with a piece.
 CHUNK = 1 << 22
-#: Frequent groups that are sent out for a semi-join, about 80 bytes each.
-BROADCAST_GROUPS = 1_500_000
+#: Bytes of text for which there is a bucket, each about a fifth of so many occurrences.
+BUCKET = 1 << 22
+#: Names of frequent groups that are sent out to longer ones, about 80 bytes each; both are shuffled beyond.
+BROADCAST_GROUPS = 100_000
 #: Rows of one batch that leaves a task.
 BATCH = 50_000
 
@@ -117,8 +119,52 @@ def unpack(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return sums[1:] - np.repeat(sums[first[:-1]], counts), counts
 
 
-def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, text) to (lang, chunk, word, n, at)."""
+def _planes(numbers: np.ndarray, rising: bool = False) -> bytes:
+    """Numbers, rising ones as their differences, with their lowest bytes first, then the next: what is small compresses well."""
+    numbers = np.diff(numbers, prepend=0) if rising else numbers
+    return numbers.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _numbers(planes: bytes, rising: bool = False) -> np.ndarray:
+    numbers = np.frombuffer(planes, dtype=np.uint8).reshape(8, -1).T.copy().view("<i8").ravel()
+    return np.cumsum(numbers) if rising else numbers
+
+
+def _run(lists: pa.Array) -> bytes:
+    """Packed lists without the bounds between them."""
+    offsets = np.frombuffer(lists.buffers()[1], dtype=np.int32)[lists.offset:lists.offset + len(lists) + 1]
+    return lists.buffers()[2][offsets[0]:offsets[-1]].to_pybytes()
+
+
+def _lists(run: bytes, n: np.ndarray) -> pa.Array:
+    """The packed lists of a run again, ``n`` positions in each."""
+    ends = np.flatnonzero(np.frombuffer(run, dtype=np.uint8) < 128) + 1
+    offsets = np.r_[0, ends[np.cumsum(n) - 1]].astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(offsets), pa.py_buffer(run)])
+
+
+def _dealt(bucket: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """The order by bucket, and (bucket, first, end) of each that has members."""
+    order = np.argsort(bucket, kind="stable")
+    first = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+    return order, list(zip(bucket[order[first]].tolist(), first.tolist(), [*first[1:].tolist(), len(order)]))
+
+
+_DEALT = pa.schema([
+    ("bucket", pa.int64()), ("chunk", pa.int64()), ("lang", pa.string()), ("head", pa.binary()), ("tail", pa.binary()),
+    ("n", pa.binary()), ("at", pa.binary()),
+])
+_DEALT_SQL = "bucket bigint, chunk bigint, lang string, head binary, tail binary, n binary, at binary"
+#: Rows without a chunk name the groups of a bucket: n is how often, and total how many words of the language there were, frequent or not.
+_SETTLED = pa.schema([
+    ("chunk", pa.int64()), ("lang", pa.string()), ("head", pa.binary()), ("tail", pa.binary()), ("id", pa.binary()),
+    ("n", pa.binary()), ("at", pa.binary()), ("total", pa.int64()),
+])
+_SETTLED_SQL = "chunk bigint, lang string, head binary, tail binary, id binary, n binary, at binary, total bigint"
+
+
+def _word_rows(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """(lang, text) to rows by chunk and bucket; ``head`` holds words with spaces between them."""
     nth = TaskContext.get().partitionId() << 32
     waiting: dict[str, list[bytes]] = {}
     sizes: dict[str, int] = {}
@@ -129,17 +175,16 @@ def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words, at = words_at(chunk)
             coded = words.dictionary_encode()
             codes = np.asarray(coded.indices)
-            order = np.argsort(codes, kind="stable")
-            offsets = np.r_[0, np.cumsum(np.bincount(codes, minlength=len(coded.dictionary)))]
-            at = at[order]
-            counts = np.diff(offsets)
-            names = coded.dictionary.cast(pa.binary()).cast(pa.string())
-            for low in range(0, len(names), BATCH):
-                high = min(low + BATCH, len(names))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([lang] * (high - low), pa.string()), pa.array(np.full(high - low, nth)), names.slice(low, high - low),
-                    pa.array(counts[low:high], pa.int32()), pack(at[offsets[low]:offsets[high]], offsets[low:high] - offsets[low]),
-                ], names=["lang", "chunk", "word", "n", "at"])
+            names = coded.dictionary.to_pylist()
+            by_word = np.argsort(codes, kind="stable")
+            n = np.bincount(codes, minlength=len(names))
+            lists = pack(at[by_word], np.cumsum(n) - n)
+            order, parts = _dealt(np.array([zlib.crc32(name) % buckets for name in names], dtype=np.int64))
+            n, lists = n[order], lists.take(pa.array(order))
+            yield pa.RecordBatch.from_pylist([
+                {"bucket": bucket, "chunk": nth, "lang": lang, "head": b" ".join(names[i] for i in order[low:high].tolist()),
+                 "n": _planes(n[low:high]), "at": _run(lists[low:high])} for bucket, low, high in parts
+            ], schema=_DEALT)
             nth += 1
 
     for batch in batches:
@@ -155,11 +200,14 @@ def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from rows(lang)
 
 
-def _extended(table: pa.Table) -> pa.Table:
-    """One chunk's rows (chunk, id, at) merged with themselves: (chunk, head, tail, n, at) of adjacent phrases."""
-    table = table.combine_chunks()
-    at, counts = unpack(table.column("at").chunk(0))
-    ids = np.repeat(table.column("id").to_numpy(), counts)
+def _extended(table: pa.Table, buckets: int, goes_on: bool) -> pa.Table:
+    """One chunk's occurrences merged with themselves: rows by bucket of adjacent phrases, with positions if these are merged again."""
+    at, ids = [], []
+    for some, n, run in zip(*(table.column(c).to_pylist() for c in ("id", "n", "at"))):
+        n = _numbers(n)
+        at.append(unpack(_lists(run, n))[0])
+        ids.append(np.repeat(_numbers(some, True), n))
+    at, ids = np.concatenate(at), np.concatenate(ids)
     order = np.argsort(at)
     at, ids = at[order], ids[order]
     next_to = np.flatnonzero(at[1:] == at[:-1] + 1)
@@ -167,45 +215,114 @@ def _extended(table: pa.Table) -> pa.Table:
     order = np.lexsort((at, tail, head))
     head, tail, at = head[order], tail[order], at[order]
     new = np.flatnonzero(np.r_[len(at) > 0, (head[1:] != head[:-1]) | (tail[1:] != tail[:-1])][:len(at)])
-    return pa.table([
-        pa.array(np.full(len(new), table.column("chunk")[0].as_py())), pa.array(head[new]), pa.array(tail[new]),
-        pa.array(np.diff(np.r_[new, len(at)]), pa.int32()), pack(at, new),
-    ], names=["chunk", "head", "tail", "n", "at"])
-
-
-def _frequent(found: DataFrame, key: list[str], least: int) -> DataFrame:
-    """The groups of occurrences that are frequent, each with a number of its own as ``id`` and its occurrences as ``a``."""
-    counts = found.groupBy(*key).agg(F.sum("n").cast("bigint").alias("a")).filter(F.col("a") >= least)
-    return saved_with_row_id(counts, dense=True).withColumnRenamed("row_id", "id")
+    head, tail, n = head[new], tail[new], np.diff(np.r_[new, len(at)])
+    lists = pack(at, new)
+    mixed = head.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + tail.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(32)
+    order, parts = _dealt((mixed % np.uint64(buckets)).astype(np.int64))
+    head, tail, n, lists = head[order], tail[order], n[order], lists.take(pa.array(order))
+    chunk = table.column("chunk")[0].as_py()
+    return pa.Table.from_pylist([
+        {"bucket": bucket, "chunk": chunk, "head": _planes(head[low:high], True), "tail": _planes(tail[low:high]), "n": _planes(n[low:high]),
+         "at": _run(lists[low:high]) if goes_on else None} for bucket, low, high in parts
+    ], schema=_DEALT)
+
+
+def _settled(bucket: int, table: pa.Table, least: int, of_words: bool) -> pa.Table:
+    """One bucket's groups counted: the occurrences of the frequent ones by chunk, and rows that name these."""
+    rows = table.sort_by("chunk").to_pylist()
+    each = [_numbers(r["n"]) for r in rows]
+    n = np.concatenate(each)
+    edges = np.r_[0, np.cumsum([len(x) for x in each])]
+    if of_words:
+        langs = sorted({r["lang"] for r in rows})
+        lang = np.repeat([langs.index(r["lang"]) for r in rows], np.diff(edges))
+        words = pa.array([w for r in rows for w in r["head"].split(b" ")], pa.binary()).dictionary_encode()
+        key = lang, np.asarray(words.indices)
+    else:
+        key = np.concatenate([_numbers(r["head"], True) for r in rows]), np.concatenate([_numbers(r["tail"]) for r in rows])
+    order = np.lexsort(key[::-1])
+    high, low = key[0][order], key[1][order]
+    new = np.r_[True, (high[1:] != high[:-1]) | (low[1:] != low[:-1])]
+    code = np.empty(len(order), dtype=np.int64)
+    code[order] = np.cumsum(new) - 1
+    a = np.add.reduceat(n[order], np.flatnonzero(new))
+    kept = a >= least
+    ids = (bucket << 32) + np.cumsum(kept) - 1
+    out = []
+    for r, start, end in zip(rows, edges[:-1].tolist(), edges[1:].tolist()):
+        some = np.flatnonzero(kept[code[start:end]])
+        if r["at"] is not None and len(some):
+            some = some[np.argsort(code[start + some])]
+            out.append({
+                "chunk": r["chunk"], "id": _planes(ids[code[start + some]], True), "n": _planes(n[start + some]),
+                "at": _run(_lists(r["at"], n[start:end]).take(pa.array(some))),
+            })
+    high, low, a, ids = high[new][kept], low[new][kept], a[kept], ids[kept]
+    if of_words:
+        for nth, name in enumerate(langs):
+            mine = np.flatnonzero(high == nth)
+            out.append({
+                "lang": name, "head": b" ".join(words.dictionary.take(pa.array(low[mine])).to_pylist()), "id": _planes(ids[mine], True),
+                "n": _planes(a[mine]), "total": int(n[lang == nth].sum()),
+            })
+    else:
+        out.append({"head": _planes(high, True), "tail": _planes(low), "id": _planes(ids, True), "n": _planes(a)})
+    return pa.Table.from_pylist(out, schema=_SETTLED)
+
+
+def _group_rows(batches: Iterator[pa.RecordBatch], of_words: bool) -> Iterator[pa.RecordBatch]:
+    """(lang, head, tail, id, n) of named groups to a row for each: (id, lang, word, a) or (id, head, tail, a)."""
+    for batch in batches:
+        for lang, head, tail, ids, n in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            ids, n = _numbers(ids, True), _numbers(n)
+            if not len(ids):
+                continue
+            if of_words:
+                key = pa.array([lang] * len(ids), pa.string()), pa.array(head.split(b" "), pa.binary()).cast(pa.string())
+            else:
+                key = pa.array(_numbers(head, True)), pa.array(_numbers(tail))
+            for low in range(0, len(ids), BATCH):
+                columns = [pa.array(ids), *key, pa.array(n)]
+                yield pa.RecordBatch.from_arrays(
+                    [c.slice(low, BATCH) for c in columns], names=["id", "lang", "word", "a"] if of_words else ["id", "head", "tail", "a"]
+                )
+
+
+def _counted(dealt: DataFrame, least: int, of_words: bool) -> tuple[DataFrame, DataFrame]:
+    """The written table of :func:`_settled` for all buckets, and its frequent groups."""
+    table = checkpointed(dealt.groupBy("bucket").applyInArrow(
+        lambda key, table: _settled(key[0].as_py(), table, least, of_words), _SETTLED_SQL
+    ), dense=True)
+    key = "lang string, word string" if of_words else "head bigint, tail bigint"
+    groups = table.filter("chunk IS NULL").select("lang", "head", "tail", "id", "n").mapInArrow(
+        lambda batches: _group_rows(batches, of_words), f"id bigint, {key}, a bigint"
+    )
+    return table, groups
 
 
-def _semi_joined(found: DataFrame, groups: DataFrame, key: list[str]) -> DataFrame:
-    """The occurrences (chunk, id, at) of frequent groups; the groups are sent out where that is small, else both sides are shuffled."""
-    names = groups.select(*key, "id")
-    names = F.broadcast(names) if groups.count() <= BROADCAST_GROUPS else names
-    return found.join(names, key).select("chunk", "id", "at")
+def _merged(table: DataFrame, buckets: int, goes_on: bool) -> DataFrame:
+    return table.filter("chunk IS NOT NULL").select("chunk", "id", "n", "at").groupBy("chunk").applyInArrow(
+        lambda chunk: _extended(chunk, buckets, goes_on), _DEALT_SQL
+    )
 
 
 def mine(docs: DataFrame, longest: int = LONGEST, least: int = FREQUENT) -> tuple[DataFrame, DataFrame]:
     """(lang, k, phrase, a) of every frequent phrase of up to ``longest`` words, and (lang, n), the words of each language."""
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), whole_text().alias("text"))
+    buckets = -(-(texts.agg(F.sum(F.octet_length("text"))).first()[0] or 1) // BUCKET)
     with scratch(docs.sparkSession) as keep:
-        found = checkpointed(texts.mapInArrow(_word_rows, "lang string, chunk bigint, word string, n int, at binary"), dense=True)
-        words = keep(found.groupBy("lang").agg(F.sum("n").cast("bigint").alias("n")))
-        key = ["lang", "word"]
-        groups = _frequent(found, key, least)
-        named = groups.select("id", "lang", F.lit(1).alias("k"), F.col("word").alias("phrase"), F.col("word").alias("last"), "a")
+        table, groups = _counted(texts.mapInArrow(lambda batches: _word_rows(batches, buckets), _DEALT_SQL), least, True)
+        words = keep(table.filter("total IS NOT NULL").groupBy("lang").agg(F.sum("total").cast("bigint").alias("n")).filter("n > 0"))
+        named = checkpointed(groups.select("id", "lang", F.lit(1).alias("k"), F.col("word").alias("phrase"), F.col("word").alias("last"), "a"))
         every = [named]
         for k in range(2, longest + 1):
-            relation = _semi_joined(found, groups, key)
-            longer = checkpointed(
-                relation.groupBy("chunk").applyInArrow(_extended, "chunk bigint, head bigint, tail bigint, n int, at binary"), dense=True
-            )
-            discard(found)
-            found, key = longer, ["head", "tail"]
-            groups = _frequent(found, key, least)
-            heads = named.select(F.col("id").alias("head"), "lang", "phrase")
-            tails = named.select(F.col("id").alias("tail"), "last")
+            longer, groups = _counted(_merged(table, buckets, k < longest), least, False)
+            discard(table)
+            table = longer
+            sent = F.broadcast if named.count() <= BROADCAST_GROUPS else lambda names: names
+            heads = sent(named.select(F.col("id").alias("head"), "lang", "phrase"))
+            tails = sent(named.select(F.col("id").alias("tail"), "last"))
             named = checkpointed(groups.join(heads, "head").join(tails, "tail").select(
                 "id", "lang", F.lit(k).alias("k"), F.concat("phrase", F.lit(" "), "last").alias("phrase"), "last", "a"
             ))

@@ -112,6 +112,26 @@ def test_phrases_with_many_frequent_groups(spark, monkeypatch):
     assert mined(spark.createDataFrame(rows, DOCS)) == phrases_by_hand([(r[1], r[2]) for r in rows])
 
 
+def test_rare_phrases_are_not_written(spark, monkeypatch):
+    chance = random.Random(8)
+    rows = [(i, "rare " + " ".join(f"w{chance.randrange(60)}" for _ in range(200)) + ". often seen here again", "en" if i % 3 else None, None, 0)
+            for i in range(90)]
+    written = []
+
+    def noted(df, *args, **options):
+        table = checkpointed(df, *args, **options)
+        written.append(table.count())
+        return table
+    monkeypatch.setattr(C, "checkpointed", noted)
+    # no table has a row for each of some 3,600 pairs, of which hardly any is frequent
+    assert mined(spark.createDataFrame(rows, DOCS)) == phrases_by_hand([(r[1], r[2]) for r in rows])
+    assert max(written) < 400
+    if hasattr(C, "BUCKET"):
+        monkeypatch.setattr(C, "BUCKET", 300)
+        monkeypatch.setattr(C, "CHUNK", 2000)
+        assert mined(spark.createDataFrame(rows, DOCS)) == phrases_by_hand([(r[1], r[2]) for r in rows])
+
+
 def test_best_phrases_only(spark):
     rows = [(i, " ".join(f"w{j} v{j}." for j in range(20)), "en", None, 0) for i in range(30)]
     found = mined(spark.createDataFrame(rows, DOCS), best=3)
