@@ -14,6 +14,8 @@ rule. It stops at the lower bound, the bucket's tokens divided by the capacity.
 from __future__ import annotations
 
 import base64
+import json
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -35,22 +37,38 @@ ROUNDS = 6
 HELD_BACK = (256, 128, 512, 1024)
 
 
+#: The list of a vocabulary file that names its special tokens, which ends with the first bracket outside a string.
+_ADDED = re.compile(r'"added_tokens"\s*:\s*(\[(?:[^]"]|"(?:[^"\\]|\\.)*")*\])')
+
+
+def special_tokens(vocabulary: str) -> list[str]:
+    """The special tokens of a vocabulary file of the tokenizers library, without building its tables."""
+    with open(vocabulary, encoding="utf-8") as lines:
+        found = _ADDED.search(lines.read())
+    return [t["content"] for t in json.loads(found[1])] if found else []
+
+
+@lru_cache(maxsize=2)
+def _whole(vocabulary: str):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(vocabulary)
+
+
 @lru_cache(maxsize=2)
 def _tokenizer(vocabulary: str, ranks: str):
-    """An encoder for the vocabulary: its ranks for speed, the vocabulary itself where a text names a special token."""
+    """An encoder for the vocabulary: its ranks for speed, the vocabulary itself, built only then, where a text names a special token."""
     import public_tokenizers
     import tiktoken
-    from tokenizers import Tokenizer
 
-    whole = Tokenizer.from_file(vocabulary)
-    special = [str(t.content) for t in whole.get_added_tokens_decoder().values()]
+    special = special_tokens(vocabulary)
     with open(ranks, "rb") as lines:
         table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
 
     def encode(text: str) -> list[int]:
         if any(s in text for s in special):
-            return whole.encode(text, add_special_tokens=False).ids
+            return _whole(vocabulary).encode(text, add_special_tokens=False).ids
         return fast.encode_ordinary(text)
 
     return encode

@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import json
 import random
 import re
 import zlib
@@ -133,6 +134,27 @@ def test_packing(docs, none):
     assert pack_documents(none, *vocabulary()).count() == 0
 
 
+def test_special_tokens_without_the_whole_vocabulary(tmp_path):
+    from tokenizers import Tokenizer
+
+    from aidmatch.llm import packing
+
+    vocabulary_file, ranks = vocabulary()
+    tokenizer = Tokenizer.from_file(vocabulary_file)
+    assert packing.special_tokens(vocabulary_file) == [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    odd = ['a]"b', "[x\\", "é"]
+    for ascii_only in (True, False):
+        text = json.dumps({"added_tokens": [{"id": i, "content": c} for i, c in enumerate(odd)], "model": {"vocab": {"]": 1}}}, ensure_ascii=ascii_only)
+        (tmp_path / "odd.json").write_text(text, encoding="utf-8")
+        assert packing.special_tokens(str(tmp_path / "odd.json")) == odd
+    packing._whole.cache_clear()
+    encode = packing._tokenizer(vocabulary_file, ranks)
+    plain, special = "Plain words, naïve ones too.", f"one {tokenizer.get_added_tokens_decoder().popitem()[1].content} two"
+    assert encode(plain) == tokenizer.encode(plain, add_special_tokens=False).ids
+    assert packing._whole.cache_info().currsize == 0  # its tables take memory of each Python worker
+    assert encode(special) == tokenizer.encode(special, add_special_tokens=False).ids
+
+
 def test_near_duplicates(spark, docs, none):
     rng = random.Random(4)
     texts = dict(enumerate(ODD[i][1] for i in range(len(ODD))))

@@ -58,3 +58,17 @@ def test_dense_tables_are_smaller_and_their_shuffles_go_at_once(spark):
         time.sleep(0.2)
     assert blocks() <= before
     assert spark.conf.get(cleanup, None) == setting
+
+
+def test_python_gets_batches_of_bounded_size(spark):
+    import pyarrow as pa
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes]), pa.array([batch.num_rows])], names=["bytes", "rows"])
+
+    long = spark.range(0, 3000, 1, 1).selectExpr("repeat(cast(id AS string), 4000) AS text")
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    found = checkpointed(long.mapInArrow(sizes, "bytes bigint, rows bigint")).collect()
+    assert sum(r.rows for r in found) == 3000 and max(r.bytes for r in found) < 8 << 20
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
